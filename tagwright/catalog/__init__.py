@@ -1 +1,4 @@
 """Registered queries and the SQL each one is checked against."""
+
+from . import bayes_queries, corpus, margin_queries, neighbour_queries, sets  # noqa: F401
+from .registry import QUERIES, SQL  # noqa: F401
