@@ -195,10 +195,11 @@ def _porter_sql() -> str:
     )
     head1 = "left(w, length(w) - 1)"
     return f"""
-  s1 AS (SELECT token, CASE WHEN length(token) <= 2 THEN token
-      WHEN token LIKE '%sses' OR token LIKE '%ies' THEN left(token, length(token) - 2)
-      WHEN token LIKE '%s' AND token NOT LIKE '%ss' THEN left(token, length(token) - 1)
-      ELSE token END AS w FROM words),
+  s0 AS (SELECT token, regexp_replace(token, '^y', 'Y') AS w FROM words),
+  s1 AS (SELECT token, CASE WHEN length(token) <= 2 THEN w
+      WHEN w LIKE '%sses' OR w LIKE '%ies' THEN left(w, length(w) - 2)
+      WHEN w LIKE '%s' AND w NOT LIKE '%ss' THEN {head1}
+      ELSE w END AS w FROM s0),
   s2 AS (SELECT token, w, CASE WHEN length(token) <= 2 OR w LIKE '%eed' THEN NULL
       WHEN w LIKE '%ed' AND regexp_matches(left(w, length(w) - 2), '{vowel}') THEN left(w, length(w) - 2)
       WHEN w LIKE '%ing' AND regexp_matches(left(w, length(w) - 3), '{vowel}') THEN left(w, length(w) - 3)
@@ -220,8 +221,8 @@ def _porter_sql() -> str:
   s8 AS (SELECT token, CASE WHEN length(token) > 2 AND w LIKE '%e' AND (regexp_matches({head1}, '{m1}')
         OR (regexp_matches({head1}, '{m1_only}') AND NOT regexp_matches({head1}, '{short}')))
       THEN {head1} ELSE w END AS w FROM s7),
-  stems AS (SELECT token, CASE WHEN length(token) > 2 AND w LIKE '%ll' AND regexp_matches(w, '{m1}')
-      THEN {head1} ELSE w END AS stem FROM s8)"""
+  stems AS (SELECT token, lower(CASE WHEN length(token) > 2 AND w LIKE '%ll' AND regexp_matches(w, '{m1}')
+      THEN {head1} ELSE w END) AS stem FROM s8)"""
 
 
 PORTER = _porter_sql()

@@ -9,6 +9,7 @@ def build_session() -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
