@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import bayes as nb, text as tx
 from ..operators.sampling import ratio_split
+from ..sources.scratch import materialize
 from ..sources.tables import vector_features
 from .corpus import COUNTS, stopped
 from .registry import query, rounded, table, vectors
@@ -37,10 +38,11 @@ def vector_split(spark, sf_dir):
 
 
 def text_sets(spark, sf_dir):
-    """Sparse term counts, and the labels of the training and the testing documents."""
+    """Stored sparse term counts, and the labels of the training and testing documents."""
     counts = tx.bag_of_words(stopped(spark, sf_dir)).select(
         F.col("doc_id").alias("id"), F.col("term").alias("feature"), F.col("tf").cast("double").alias("value")
     )
+    counts = materialize(counts, "counts")
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id"), F.col("quality").alias("classLabel")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import text as tx
 from ..operators.knn import pair_cosines_sparse
 from ..plans.features import weighted_terms
+from ..sources.scratch import materialize
 from .registry import query, rounded, sql_list, table
 
 # Fixed value: the short function-word list of the registered queries.
@@ -38,12 +39,14 @@ def documents(spark, sf_dir):
 
 
 def stopped(spark, sf_dir):
-    return tx.remove_stopwords(tx.tokenize(documents(spark, sf_dir)), STOPWORDS)
+    """Cleaned token arrays, documents distributed by id."""
+    docs = tx.by_document(documents(spark, sf_dir))
+    return tx.remove_stopwords(tx.tokenize(docs), STOPWORDS)
 
 
 @query("tokens_clean", f"WITH {TOKENS} SELECT doc_id, array_to_string(tokens, ' ') AS text, len(tokens)::BIGINT AS n_tokens FROM tok")
 def tokens_clean(spark, sf_dir):
-    tokens = tx.tokenize(documents(spark, sf_dir))
+    tokens = tx.tokenize(tx.by_document(documents(spark, sf_dir)))
     return tokens.select(
         "doc_id", F.array_join("tokens", " ").alias("text"), F.size("tokens").cast("long").alias("n_tokens")
     )
@@ -85,8 +88,9 @@ def bag_of_words(spark, sf_dir):
 
 
 def _weights(spark, sf_dir, mode):
-    counts = tx.bag_of_words(stopped(spark, sf_dir))
-    return tx.tfidf(counts, documents(spark, sf_dir), mode)
+    tokens = stopped(spark, sf_dir)
+    docs = documents(spark, sf_dir)
+    return tx.tfidf(tx.bag_of_words(tokens), docs, mode, frequency=tx.term_table(tokens))
 
 
 @query("tfidf_divide", f"WITH {WEIGHTS} SELECT doc_id, term, round(weight, 6) + 0.0 AS weight FROM wd")
@@ -243,7 +247,7 @@ STEMMED_TEXT = f"""WITH {EXPLODED}, words AS (SELECT DISTINCT term AS token FROM
 
 @query("stemmed_text", STEMMED_TEXT)
 def stemmed_text(spark, sf_dir):
-    return tx.rejoin(tx.prepare(documents(spark, sf_dir), STOPWORDS))
+    return tx.rejoin(tx.prepare(tx.by_document(documents(spark, sf_dir)), STOPWORDS))
 
 
 PAIR_COUNTS = f"""WITH {COUNTS}, asked AS (SELECT d.doc_id, t.term FROM documents d,
@@ -270,7 +274,7 @@ PAIR_COSINES_TEXT = f"""WITH {WEIGHTS}, pairs AS (SELECT doc_id AS a, doc_id + 1
 @query("pair_cosines_text", PAIR_COSINES_TEXT)
 def pair_cosines_text(spark, sf_dir):
     docs = documents(spark, sf_dir)
-    weights = weighted_terms(docs, STOPWORDS)
+    weights = materialize(weighted_terms(docs, STOPWORDS), "weights")
     following = docs.select((F.col("doc_id") - 1).alias("a"), F.col("doc_id").alias("b"))
     pairs = docs.select(F.col("doc_id").alias("a")).join(following, "a")
     found = pair_cosines_sparse(pairs, weights, "doc_id", "term", "weight")

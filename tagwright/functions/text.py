@@ -8,15 +8,24 @@ from pyspark.sql import Column, functions as F
 
 from .porter import stem_tokens  # noqa: F401  (re-exported)
 
-SEPARATORS = r"[^\p{L}\p{N}]+"
-ALL_LETTERS = r"^\p{L}+$"
+def clean_tokens(text: Column, min_len: int = 1) -> Column:
+    """Lower-case tokens longer than ``min_len``, a null text giving an empty array.
 
+    Letters and digits make up tokens, anything else separates them, and tokens with a digit
+    are dropped: one regular-expression pass finds the all-letter runs that no letter or
+    digit touches."""
+    word = rf"(?<![\p{{L}}\p{{N}}])\p{{L}}{{{min_len + 1},}}+(?![\p{{L}}\p{{N}}])"
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(word), F.lit(0))
 
-def clean_tokens(text: Column, min_len: int = 1) -> Column:
-    """Lower-case, split on anything but letters and digits, keep all-letter tokens
-    longer than ``min_len``.  A null text gives an empty array."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), SEPARATORS)
-    return F.filter(parts, lambda t: t.rlike(ALL_LETTERS) & (F.length(t) > min_len))
+
+def explode_tokens(tokens: Column, name: str):
+    """One row per token.  The outer form with ``present`` afterwards keeps the optimizer
+    from evaluating the token expression a second time for a size filter."""
+    return F.explode_outer(tokens).alias(name)
+
+
+def present(name: str) -> Column:
+    return F.col(name).isNotNull()
 
 
 def without_words(tokens: Column, words: Sequence[str]) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.scratch import materialize
+
 BROADCAST_BYTES = 64 << 20
 # A key holding at least 1/HOT_SHARE of the rows is spread; there can be at most HOT_SHARE
 # such keys and 2 * HOT_SHARE salts, which bounds the broadcast list of hot keys.
@@ -26,13 +28,13 @@ def spread_join(
 ) -> DataFrame:
     """``rows`` joined to ``lookup`` (unique in ``key``), hot keys split over several tasks.
 
-    ``frequency`` is ``(key, n_rows)``.  A hot key gets as many salts as its share needs; its
-    rows pick one by a hash of ``spread`` and its lookup row is repeated once per salt, so no
-    task receives much more than 1/HOT_SHARE of the rows for one key."""
-    total = frequency.select(F.sum("n_rows")).scalar()
+    ``frequency`` is a stored ``(key, n_rows)`` table.  A hot key gets as many salts as its
+    share needs; its rows pick one by a hash of ``spread`` and its lookup row is repeated
+    once per salt, so no task receives much more than 1/HOT_SHARE of the rows for one key."""
+    total = frequency.agg(F.sum("n_rows")).first()[0] or 0
     share = F.col("n_rows") * F.lit(HOT_SHARE)
     hot = frequency.where((F.col("n_rows") >= hot_min_rows) & (share >= total)).select(
-        key, F.ceil(share / total).cast("int").alias("_salts")
+        key, F.ceil(share / F.lit(max(total, 1))).cast("int").alias("_salts")
     )
     hot = F.broadcast(hot)
     salted_rows = (
@@ -48,6 +50,11 @@ def spread_join(
     return salted_rows.join(salted_lookup, [key, "_salt"], how).drop("_salt")
 
 
+def key_frequency(rows: DataFrame, key: str) -> DataFrame:
+    """Stored row counts per key."""
+    return materialize(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows")), "frequency")
+
+
 def lookup_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -55,13 +62,15 @@ def lookup_join(
     spread: str | Column,
     row_bytes: int,
     how: str = "inner",
+    frequency: DataFrame | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
     hot_min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
     """Broadcast the lookup when its measured size allows, otherwise ``spread_join``.
 
-    ``lookup`` should be a stored table: its rows are counted here."""
+    ``lookup`` should be a stored table or derived from one row by row: it is counted here."""
     if fits_broadcast(lookup.count(), row_bytes, broadcast_limit):
         return rows.join(F.broadcast(lookup), key, how)
-    frequency = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+    if frequency is None:
+        frequency = key_frequency(rows, key)
     return spread_join(rows, lookup, key, spread, frequency, how, hot_min_rows)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import kernels as kn
+from ..sources.scratch import materialize
 from .blocks import kernel_sum
 from .lookup import BROADCAST_BYTES, lookup_join
 
@@ -54,7 +55,8 @@ def decision_values(
     are summed on the map side before the exchange."""
     cells = F.collect_list(F.struct("model_id", "weight"))
     by_feature = model.where(F.col("feature") != BIAS).groupBy("feature").agg(cells.alias("w"))
-    n_models = max(model.select("model_id").distinct().count(), 1)
+    by_feature = materialize(by_feature, "weights")
+    n_models = by_feature.agg(F.coalesce(F.max(F.size("w")), F.lit(1))).first()[0]
     keyed = features.select(id_col, F.col("feature").cast("string").alias("feature"), "value")
     joined = lookup_join(
         keyed, by_feature, "feature", id_col, row_bytes=48 + 24 * n_models, broadcast_limit=broadcast_limit

@@ -1,8 +1,8 @@
 """From raw documents to term counts, weights and rankings.
 
-Token arrays live on their document row.  Documents are hash-distributed by id once, as
-compact arrays; counting terms per document, norms per document and joins on the document
-id then need no further exchange.
+Token arrays live on their document row.  ``by_document`` hash-distributes the raw texts by
+id once, which also breaks up oversized input splits; cleaning, counting terms per document
+and joins on the document id then need no further exchange.
 """
 
 from __future__ import annotations
@@ -12,12 +12,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
-from .lookup import HOT_MIN_ROWS, spread_join
+from ..sources.scratch import materialize
+from .lookup import BROADCAST_BYTES, HOT_MIN_ROWS, key_frequency, lookup_join, spread_join
 
 # Word lists up to this size become a literal hash set; larger ones are joined.
 LITERAL_WORDS = 10_000
 
 
+def by_document(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Distribute documents by id.  The raw text is the smallest form to move: token arrays
+    and counted terms are several times larger."""
+    return docs.repartition(id_col)
+
+
+def enough_splits(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The documents as they are, or distributed by id if they come in fewer splits than
+    there are cores."""
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    return docs if docs.rdd.getNumPartitions() >= cores else by_document(docs, id_col)
+
+
 def tokenize(
     docs: DataFrame, min_len: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -31,7 +45,8 @@ def bounded_words(words: DataFrame, column: str = "word") -> list[str] | None:
 
 
 def exploded(tokens: DataFrame, id_col: str, column: str = "token") -> DataFrame:
-    return tokens.select(id_col, F.posexplode("tokens").alias("pos", column))
+    rows = tokens.select(id_col, F.posexplode_outer("tokens").alias("pos", column))
+    return rows.where(tx.present(column))
 
 
 def regroup(rows: DataFrame, ids: DataFrame, id_col: str, column: str = "token") -> DataFrame:
@@ -64,10 +79,8 @@ def remove_stopwords(
 
 def _anti_join_words(tokens: DataFrame, words: DataFrame, id_col: str) -> DataFrame:
     rows = exploded(tokens, id_col)
-    frequency = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n_rows"))
-    marked = spread_join(
-        rows, words.distinct().withColumn("_stop", F.lit(True)), "token", id_col, frequency, "left"
-    )
+    marks = words.distinct().withColumn("_stop", F.lit(True))
+    marked = spread_join(rows, marks, "token", id_col, key_frequency(rows, "token"), "left")
     return regroup(marked.where(F.col("_stop").isNull()), tokens, id_col)
 
 
@@ -78,7 +91,7 @@ def stem(tokens: DataFrame) -> DataFrame:
 
 def stem_dictionary(tokens: DataFrame) -> DataFrame:
     """Every distinct token of the corpus with its stem."""
-    distinct = tokens.select(F.explode("tokens").alias("token")).distinct()
+    distinct = tokens.select(tx.explode_tokens(F.col("tokens"), "token")).where(tx.present("token")).distinct()
     return distinct.select("token", tx.stem_tokens(F.array("token"))[0].alias("stem"))
 
 
@@ -99,10 +112,12 @@ def prepare(
 
 
 def bag_of_words(tokens: DataFrame, n: int = 1, id_col: str = "doc_id") -> DataFrame:
-    """Occurrences of each n-gram per document.  Absent n-grams count 0 and have no row."""
-    grams = tokens.select(id_col, tx.ngrams(F.col("tokens"), n).alias("grams")).repartition(id_col)
+    """Occurrences of each n-gram per document.  Absent n-grams count 0 and have no row.
+
+    On documents distributed by id this has no exchange."""
     return (
-        grams.select(id_col, F.explode("grams").alias("term"))
+        tokens.select(id_col, tx.explode_tokens(tx.ngrams(F.col("tokens"), n), "term"))
+        .where(tx.present("term"))
         .groupBy(id_col, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
@@ -117,23 +132,33 @@ def document_frequencies(counts: DataFrame) -> DataFrame:
     return counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
 
 
-def corpus_size(docs: DataFrame):
-    return docs.select(F.count(F.lit(1))).scalar()
+def term_table(tokens: DataFrame) -> DataFrame:
+    """Stored ``(term, n_rows)``: the number of documents each term is in.  Terms are made
+    distinct inside their document, so only partial counts per term are exchanged."""
+    terms = tokens.select(tx.explode_tokens(F.array_distinct("tokens"), "term"))
+    return key_frequency(terms.where(tx.present("term")), "term")
 
 
 def tfidf(
     counts: DataFrame, docs: DataFrame, mode: str = "divide", id_col: str = "doc_id",
+    frequency: DataFrame | None = None, broadcast_limit: int = BROADCAST_BYTES,
     hot_min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
     """``(id, term, weight)`` with ``ln(1+tf)`` divided by ``ln(N/(1+df))``.
 
     ``mode="multiply"`` is the conventional product.  Where idf is 0 the quotient does not
-    exist and the row is dropped.  ``docs`` supplies N, documents without terms included."""
+    exist and the row is dropped.  ``docs`` supplies N, documents without terms included.
+    ``frequency`` is a ``term_table`` if there is one already.  While the terms fit a
+    broadcast the counts stay where they are, so a distribution by document is kept."""
     if mode not in ("divide", "multiply"):
         raise ValueError(f"mode must be 'divide' or 'multiply', got {mode!r}")
-    frequency = document_frequencies(counts).select("term", F.col("df").alias("n_rows"))
-    idf = frequency.select("term", F.ln(corpus_size(docs) / (1 + F.col("n_rows"))).alias("idf"))
-    joined = spread_join(counts, idf, "term", id_col, frequency, hot_min_rows=hot_min_rows)
+    if frequency is None:
+        frequency = key_frequency(counts, "term")
+    idf = frequency.select("term", F.ln(F.lit(float(docs.count())) / (1 + F.col("n_rows"))).alias("idf"))
+    joined = lookup_join(
+        counts, idf, "term", id_col, row_bytes=96, frequency=frequency,
+        broadcast_limit=broadcast_limit, hot_min_rows=hot_min_rows,
+    )
     log_tf = F.log1p("tf")
     weight = F.try_divide(log_tf, F.col("idf")) if mode == "divide" else log_tf * F.col("idf")
     return joined.select(id_col, "term", weight.alias("weight")).where(F.col("weight").isNotNull())
@@ -147,7 +172,7 @@ def l2_normalize(weights: DataFrame, id_col: str = "doc_id", value_col: str = "w
 
 def term_rank(counts: DataFrame, docs: DataFrame) -> DataFrame:
     """Corpus score ``(1+ln tf) * ln(N/df)`` per term; rank is by score, then term."""
-    score = (1.0 + F.ln("tf")) * F.ln(corpus_size(docs) / F.col("df"))
+    score = (1.0 + F.ln("tf")) * F.ln(F.lit(float(docs.count())) / F.col("df"))
     return document_frequencies(counts).select("term", "tf", "df", score.alias("score"))
 
 
@@ -161,7 +186,7 @@ def top_terms(ranked: DataFrame, k: int) -> DataFrame:
 def drop_low_ranked(tokens: DataFrame, threshold: float, id_col: str = "doc_id") -> DataFrame:
     """Remove terms whose corpus score is not above the threshold."""
     scored = term_rank(bag_of_words(tokens, 1, id_col), tokens)
-    low = scored.where(F.col("score") <= threshold).select("term")
+    low = materialize(scored.where(F.col("score") <= threshold).select("term"), "low-terms")
     return remove_stopwords(tokens, low, id_col)
 
 
@@ -172,7 +197,7 @@ def vocabulary(
 
     With ``span_documents`` the corpus is read as one token stream in id order, which adds
     the n-grams that run across neighbouring documents."""
-    own = tokens.select(F.explode(tx.ngrams(F.col("tokens"), n)).alias("term"))
+    own = tokens.select(tx.explode_tokens(tx.ngrams(F.col("tokens"), n), "term")).where(tx.present("term"))
     if span_documents and n > 1:
         own = own.unionByName(spanning_ngrams(tokens, n, id_col))
     return own.distinct()
@@ -244,8 +269,7 @@ def dictionary_share(
         hits = F.size(F.filter("tokens", lambda t: t.isin(listed))) if listed else F.lit(0)
         share = F.try_divide(hits.cast("double"), F.size("tokens").cast("double"))
         return tokens.select(id_col, share.alias(out_col))
-    counts = bag_of_words(tokens, 1, id_col)
-    frequency = document_frequencies(counts).select("term", F.col("df").alias("n_rows"))
+    counts, frequency = bag_of_words(tokens, 1, id_col), term_table(tokens)
     marks = words.select(F.col(column).alias("term")).distinct().withColumn("_hit", F.lit(1))
     marked = spread_join(counts, marks, "term", id_col, frequency, "left")
     shares = marked.groupBy(id_col).agg(
