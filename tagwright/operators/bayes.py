@@ -6,6 +6,7 @@ computed from the rows that exist and corrected for the zeros that do not.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,21 +27,21 @@ def priors(labels: DataFrame, label_col: str = LABEL) -> DataFrame:
     )
 
 
-def _class_sizes(labels: DataFrame, label_col: str) -> Column:
-    counts = labels.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    return counts.select(F.map_from_entries(F.collect_list(F.struct(label_col, "n")))).scalar()
+def class_sizes(labels: DataFrame, label_col: str = LABEL) -> dict:
+    """Rows per class in class order; one small aggregate."""
+    known = labels.where(F.col(label_col).isNotNull())
+    return {r[0]: r[1] for r in known.groupBy(label_col).count().orderBy(label_col).collect()}
 
 
-def class_moments(
-    features: DataFrame, labels: DataFrame, label_col: str = LABEL, id_col: str = "id"
+def _moment_arrays(
+    features: DataFrame, labels: DataFrame, sizes: dict, label_col: str, id_col: str
 ) -> DataFrame:
-    """``(class, feature, mean, std)`` for every class and feature of the training rows.
+    """``(feature, moments)``: mean and deviation per class, in the order of ``sizes``.
 
     One pass: Spark's mergeable central moments of the stored values are combined with the
     block of zeros.  An explicit NULL value is left out, as in a dense table.  A class with
     one row has a NULL deviation."""
     known = labels.where(F.col(label_col).isNotNull()).select(id_col, label_col)
-    sizes = _class_sizes(known, label_col)
     stored = (
         features.join(known, id_col)
         .groupBy("feature", label_col)
@@ -51,23 +52,40 @@ def class_moments(
             F.var_pop("value").alias("var"),
         )
     )
-    per_feature = stored.groupBy("feature").agg(
-        F.map_from_entries(
-            F.collect_list(F.struct(label_col, F.struct("m", "nulls", "avg", "var")))
-        ).alias("stored")
-    )
-    rows = per_feature.select("feature", "stored", F.explode(sizes).alias(label_col, "size"))
-    cell = F.try_element_at("stored", F.col(label_col))
-    m = F.coalesce(cell["m"], F.lit(0)).cast("double")
-    n = F.col("size") - F.coalesce(cell["nulls"], F.lit(0)).cast("double")
-    avg, var = F.coalesce(cell["avg"], F.lit(0.0)), F.coalesce(cell["var"], F.lit(0.0))
-    squares = m * var + F.try_divide(avg * avg * m * (n - m), n)
-    return rows.select(
-        label_col,
-        "feature",
-        F.try_divide(m * avg, n).alias("mean"),
-        F.when(n > 1, F.sqrt(F.try_divide(squares, n - 1))).alias("std"),
+    wide = stored.groupBy("feature").agg(
+        *[
+            F.max(F.when(F.col(label_col) == F.lit(c), F.col(part))).alias(f"{part}_{i}")
+            for i, c in enumerate(sizes)
+            for part in ("m", "nulls", "avg", "var")
+        ]
     )
+    cells = []
+    for i, size in enumerate(sizes.values()):
+        m = F.coalesce(f"m_{i}", F.lit(0)).cast("double")
+        n = F.lit(float(size)) - F.coalesce(f"nulls_{i}", F.lit(0)).cast("double")
+        avg, var = F.coalesce(f"avg_{i}", F.lit(0.0)), F.coalesce(f"var_{i}", F.lit(0.0))
+        squares = m * var + F.try_divide(avg * avg * m * (n - m), n)
+        std = F.when(n > 1, F.sqrt(F.try_divide(squares, n - 1)))
+        cells.append(F.struct(F.try_divide(m * avg, n).alias("mean"), std.alias("std")))
+    return wide.select("feature", F.array(*cells).alias("moments"))
+
+
+def class_moments(
+    features: DataFrame, labels: DataFrame, label_col: str = LABEL, id_col: str = "id"
+) -> DataFrame:
+    """``(class, feature, mean, std)`` for every class and feature of the training rows."""
+    sizes = class_sizes(labels, label_col)
+    arrays = _moment_arrays(features, labels, sizes, label_col, id_col)
+    named = F.array(*[
+        F.struct(F.lit(c).alias(label_col), F.get("moments", F.lit(i)).alias("s"))
+        for i, c in enumerate(sizes)
+    ])
+    rows = arrays.select("feature", F.inline(named))
+    return rows.select(label_col, "feature", "s.mean", "s.std")
+
+
+def _usable(moment) -> Column:
+    return F.coalesce((moment["std"] > 0) & moment["mean"].isNotNull(), F.lit(False))
 
 
 def usable_features(moments: DataFrame) -> DataFrame:
@@ -98,29 +116,18 @@ def fit_bayes(
     ``base`` is the likelihood of an all-zero row, so scoring touches stored values only."""
     if density not in DENSITIES:
         raise ValueError(f"density must be one of {DENSITIES}, got {density!r}")
-    shares = priors(labels, label_col).orderBy(label_col)
-    rows = shares.select(label_col, F.ln("prior").alias("lp"), "n").collect()
-    classes = [r[label_col] for r in rows]
-    moments = class_moments(features, labels, label_col, id_col)
-    good = F.coalesce((F.col("std") > 0) & F.col("mean").isNotNull(), F.lit(False))
-    params = moments.groupBy("feature").agg(
-        F.bool_and(good).alias("usable"),
-        *[
-            F.max(F.when(F.col(label_col) == F.lit(c), F.struct("mean", "std"))).alias(f"c{i}")
-            for i, c in enumerate(classes)
-        ],
-    ).where("usable").select(
-        "feature", F.array(*[f"c{i}" for i in range(len(classes))]).alias("moments")
-    )
+    sizes = class_sizes(labels, label_col)
+    classes, total = list(sizes), sum(sizes.values())
+    log_priors = [math.log(n / total) for n in sizes.values()]
+    params = _moment_arrays(features, labels, sizes, label_col, id_col).where(F.forall("moments", _usable))
     if density == "multinoulli":
-        sizes = {r[label_col]: r["n"] for r in rows}
         params = params.join(
             _value_shares(features, labels, classes, sizes, label_col, id_col), "feature"
         )
     params = materialize(params, "bayes")
     terms = _terms(F.lit(0.0), density, log_terms, len(classes))
     sums = params.select([F.coalesce(F.sum(t), F.lit(0.0)) for t in terms]).first()
-    return BayesModel(density, log_terms, classes, [r["lp"] for r in rows], list(sums), params)
+    return BayesModel(density, log_terms, classes, log_priors, list(sums), params)
 
 
 def _value_shares(features, labels, classes, sizes, label_col, id_col) -> DataFrame:

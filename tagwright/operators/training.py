@@ -409,7 +409,7 @@ def calibrate(
     rows = joined.where(F.col("label").isNotNull()).select(
         array_to_vector(F.array("decision")).alias("features"), "label"
     )
-    return LogisticRegression(maxIter=50, regParam=0.0).fit(rows)
+    return LogisticRegression(maxIter=50, regParam=0.0).fit(materialize(rows, "calibration"))
 
 
 def probabilities(scores: DataFrame, calibration) -> DataFrame:
