@@ -27,8 +27,7 @@ DECISIONS = f"""{MODEL}, d AS (SELECT f.id, w.m AS model_id, sum(value * weight)
 
 def _model(spark, sf_dir):
     training, testing = vector_split(spark, sf_dir)
-    model = mg.class_mean_model(vector_features(training, "id", "vec"), training)
-    return materialize(model, "class-means"), training, testing
+    return mg.class_mean_model(vector_features(training, "id", "vec"), training), training, testing
 
 
 def _decisions(spark, sf_dir):

@@ -33,7 +33,7 @@ def class_sizes(labels: DataFrame, label_col: str = LABEL) -> dict:
     return {r[0]: r[1] for r in known.groupBy(label_col).count().orderBy(label_col).collect()}
 
 
-def _moment_arrays(
+def moment_arrays(
     features: DataFrame, labels: DataFrame, sizes: dict, label_col: str, id_col: str
 ) -> DataFrame:
     """``(feature, moments)``: mean and deviation per class, in the order of ``sizes``.
@@ -75,7 +75,7 @@ def class_moments(
 ) -> DataFrame:
     """``(class, feature, mean, std)`` for every class and feature of the training rows."""
     sizes = class_sizes(labels, label_col)
-    arrays = _moment_arrays(features, labels, sizes, label_col, id_col)
+    arrays = moment_arrays(features, labels, sizes, label_col, id_col)
     named = F.array(*[
         F.struct(F.lit(c).alias(label_col), F.get("moments", F.lit(i)).alias("s"))
         for i, c in enumerate(sizes)
@@ -119,7 +119,7 @@ def fit_bayes(
     sizes = class_sizes(labels, label_col)
     classes, total = list(sizes), sum(sizes.values())
     log_priors = [math.log(n / total) for n in sizes.values()]
-    params = _moment_arrays(features, labels, sizes, label_col, id_col).where(F.forall("moments", _usable))
+    params = moment_arrays(features, labels, sizes, label_col, id_col).where(F.forall("moments", _usable))
     if density == "multinoulli":
         params = params.join(
             _value_shares(features, labels, classes, sizes, label_col, id_col), "feature"

@@ -63,13 +63,15 @@ def lookup_join(
     row_bytes: int,
     how: str = "inner",
     frequency: DataFrame | None = None,
+    n_rows: int | None = None,
     broadcast_limit: int = BROADCAST_BYTES,
     hot_min_rows: int = HOT_MIN_ROWS,
 ) -> DataFrame:
     """Broadcast the lookup when its measured size allows, otherwise ``spread_join``.
 
-    ``lookup`` should be a stored table or derived from one row by row: it is counted here."""
-    if fits_broadcast(lookup.count(), row_bytes, broadcast_limit):
+    ``lookup`` should be a stored table or derived from one row by row: unless ``n_rows``
+    says how many rows it has, it is counted here."""
+    if fits_broadcast(lookup.count() if n_rows is None else n_rows, row_bytes, broadcast_limit):
         return rows.join(F.broadcast(lookup), key, how)
     if frequency is None:
         frequency = key_frequency(rows, key)

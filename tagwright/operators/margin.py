@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import kernels as kn
 from ..sources.scratch import materialize
+from .bayes import class_sizes, moment_arrays
 from .blocks import kernel_sum
 from .lookup import BROADCAST_BYTES, lookup_join
 
@@ -22,22 +23,23 @@ def class_mean_model(
 ) -> DataFrame:
     """The hyperplane halfway between a class's mean and the mean of all other rows, for
     every class.  It needs no solver and can stand in for a fitted model anywhere."""
-    from .bayes import class_moments
-
-    known = labels.where(F.col(label_col).isNotNull())
-    means = class_moments(features, known, label_col, id_col)
-    counts = known.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    sizes = counts.select(F.map_from_entries(F.collect_list(F.struct(label_col, "n")))).scalar()
-    total = known.select(F.count(F.lit(1))).scalar()
-    sums = means.withColumn("n", F.element_at(sizes, F.col(label_col)))
-    overall = sums.groupBy("feature").agg(F.sum(F.col("mean") * F.col("n")).alias("all_sum"))
-    sides = sums.join(overall, "feature").select(
-        F.col(label_col).alias("model_id"), "feature", F.col("mean").alias("pos"),
-        F.try_divide(F.col("all_sum") - F.col("mean") * F.col("n"), total - F.col("n")).alias("neg"),
-    )
-    weights = sides.select(
-        "model_id", F.col("feature").cast("string").alias("feature"), (F.col("pos") - F.col("neg")).alias("weight")
+    sizes = class_sizes(labels, label_col)
+    total = sum(sizes.values())
+    arrays = moment_arrays(features, labels, sizes, label_col, id_col)
+    means = [F.get("moments", F.lit(i))["mean"] for i in range(len(sizes))]
+    overall = sum((m * F.lit(float(n)) for m, n in zip(means, sizes.values())), F.lit(0.0))
+    cells = [
+        F.struct(
+            F.lit(c).alias("model_id"), m.alias("pos"),
+            F.try_divide(F.col("overall") - m * F.lit(float(n)), F.lit(float(total - n))).alias("neg"),
+        )
+        for (c, n), m in zip(sizes.items(), means)
+    ]
+    sides = arrays.withColumn("overall", overall).select(
+        F.col("feature").cast("string").alias("feature"), F.inline(F.array(*cells))
     )
+    sides = materialize(sides, "class-means")
+    weights = sides.select("model_id", "feature", (F.col("pos") - F.col("neg")).alias("weight"))
     square = F.sum(F.col("pos") * F.col("pos")) - F.sum(F.col("neg") * F.col("neg"))
     bias = sides.groupBy("model_id").agg((-square / 2).alias("weight")).select(
         "model_id", F.lit(BIAS).alias("feature"), "weight"
@@ -56,10 +58,11 @@ def decision_values(
     cells = F.collect_list(F.struct("model_id", "weight"))
     by_feature = model.where(F.col("feature") != BIAS).groupBy("feature").agg(cells.alias("w"))
     by_feature = materialize(by_feature, "weights")
-    n_models = by_feature.agg(F.coalesce(F.max(F.size("w")), F.lit(1))).first()[0]
+    shape = by_feature.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("w")), F.lit(1))).first()
     keyed = features.select(id_col, F.col("feature").cast("string").alias("feature"), "value")
     joined = lookup_join(
-        keyed, by_feature, "feature", id_col, row_bytes=48 + 24 * n_models, broadcast_limit=broadcast_limit
+        keyed, by_feature, "feature", id_col, row_bytes=48 + 24 * shape[1], n_rows=shape[0],
+        broadcast_limit=broadcast_limit,
     )
     dots = (
         joined.select(id_col, "value", F.explode("w").alias("w"))

@@ -31,6 +31,7 @@ from .sampling import hash_rank
 SMOOTH = 0.1
 HISTORY = 8
 BATCH_ROWS = 4_096
+DRIVER_BYTES = 16 << 20
 
 
 @dataclass(frozen=True)
@@ -117,9 +118,12 @@ def _rounded_hinge(margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _gradient_pass(
     train: DataFrame, specs: Sequence[Spec], weights: np.ndarray, template: MarginModel,
-    label_weights: dict | None,
+    label_weights: dict | None, n_parts: int,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Loss and gradient of the data term for each model, summed over all rows."""
+    """Loss and gradient of the data term for each model, summed over all rows.
+
+    The partial sums of all partitions are added by Spark, or directly on the driver when
+    together they are small."""
     # the shape is sent as numbers and the weights as one broadcast matrix
     sent = train.sparkSession.sparkContext.broadcast(weights)
     kernel, width = template.kernel, weights.shape[1]
@@ -176,12 +180,15 @@ def _gradient_pass(
         )
 
     schema = "m int, loss double, grad array<double>"
-    parts = train.mapInArrow(partial, schema)
-    rows = parts.groupBy("m").applyInArrow(total, schema).collect()
+    sums = train.mapInArrow(partial, schema)
+    if n_parts * weights.nbytes > DRIVER_BYTES:
+        sums = sums.groupBy("m").applyInArrow(total, schema)
+    rows = sums.toArrow()
     sent.unpersist()
     loss, grad = np.zeros(len(specs)), np.zeros((len(specs), width))
-    for row in rows:
-        loss[row["m"]], grad[row["m"]] = row["loss"], row["grad"]
+    which = np.asarray(rows.column("m"))
+    np.add.at(loss, which, np.asarray(rows.column("loss")))
+    np.add.at(grad, which, dense_matrix(rows, "grad").reshape(-1, width))
     return loss, grad
 
 
@@ -284,7 +291,7 @@ def fit_specs(
         if not len(members):
             break
         trial = descent.trial()[members]
-        loss, grad = _gradient_pass(rows, [specs[i] for i in members], trial, model, params.weights)
+        loss, grad = _gradient_pass(rows, [specs[i] for i in members], trial, model, params.weights, parts)
         free = trial.copy()
         free[:, -1] = 0.0
         value = 0.5 * (free**2).sum(axis=1) + penalty[members] * loss

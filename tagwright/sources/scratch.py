@@ -17,8 +17,9 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by the session.  Only a local session may fall back to a
     folder of its own."""
+    root = spark.conf.get(CHECKPOINT_SETTING, None)
     context = spark.sparkContext
-    root = spark.conf.get(CHECKPOINT_SETTING, None) or context.getCheckpointDir()
+    root = root or context.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not context.master.startswith("local"):
