@@ -11,7 +11,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.density import DENSITIES, bernoulli_term, gaussian_log_density, probability_term
+from ..functions.density import (
+    DENSITIES, bernoulli_term, gaussian_log_density, literal, literal_array, probability_term,
+)
 from ..sources.scratch import materialize
 from .lookup import BROADCAST_BYTES, lookup_join
 
@@ -52,22 +54,21 @@ def moment_arrays(
             F.var_pop("value").alias("var"),
         )
     )
-    wide = stored.groupBy("feature").agg(
-        *[
-            F.max(F.when(F.col(label_col) == F.lit(c), F.col(part))).alias(f"{part}_{i}")
-            for i, c in enumerate(sizes)
-            for part in ("m", "nulls", "avg", "var")
-        ]
+    parts = F.struct("m", "nulls", "avg", "var")
+    per_feature = stored.groupBy("feature").agg(
+        F.map_from_entries(F.collect_list(F.struct(label_col, parts))).alias("stored")
     )
-    cells = []
-    for i, size in enumerate(sizes.values()):
-        m = F.coalesce(f"m_{i}", F.lit(0)).cast("double")
-        n = F.lit(float(size)) - F.coalesce(f"nulls_{i}", F.lit(0)).cast("double")
-        avg, var = F.coalesce(f"avg_{i}", F.lit(0.0)), F.coalesce(f"var_{i}", F.lit(0.0))
-        squares = m * var + F.try_divide(avg * avg * m * (n - m), n)
-        std = F.when(n > 1, F.sqrt(F.try_divide(squares, n - 1)))
-        cells.append(F.struct(F.try_divide(m * avg, n).alias("mean"), std.alias("std")))
-    return wide.select("feature", F.array(*cells).alias("moments"))
+    classes, counts = literal_array(sizes), literal_array(float(n) for n in sizes.values())
+    filled = f"""transform({classes}, (c, i) -> named_struct(
+        'm', coalesce(try_element_at(stored, c).m, 0) + 0D,
+        'n', {counts}[i] - coalesce(try_element_at(stored, c).nulls, 0),
+        'avg', coalesce(try_element_at(stored, c).avg, 0D),
+        'var', coalesce(try_element_at(stored, c).var, 0D)))"""
+    moments = """transform(filled, s -> named_struct(
+        'mean', try_divide(s.m * s.avg, s.n),
+        'std', if(s.n > 1, sqrt((s.m * s.var + s.avg * s.avg * s.m * (s.n - s.m) / s.n) / (s.n - 1)), NULL)))"""
+    rows = per_feature.select("feature", F.expr(filled).alias("filled"))
+    return rows.select("feature", F.expr(moments).alias("moments"))
 
 
 def class_moments(
@@ -76,12 +77,9 @@ def class_moments(
     """``(class, feature, mean, std)`` for every class and feature of the training rows."""
     sizes = class_sizes(labels, label_col)
     arrays = moment_arrays(features, labels, sizes, label_col, id_col)
-    named = F.array(*[
-        F.struct(F.lit(c).alias(label_col), F.get("moments", F.lit(i)).alias("s"))
-        for i, c in enumerate(sizes)
-    ])
-    rows = arrays.select("feature", F.inline(named))
-    return rows.select(label_col, "feature", "s.mean", "s.std")
+    named = f"transform(moments, (s, i) -> named_struct('c', {literal_array(sizes)}[i], 's', s))"
+    rows = arrays.select("feature", F.expr(f"inline({named})"))
+    return rows.select(F.col("c").alias(label_col), "feature", "s.mean", "s.std")
 
 
 def _usable(moment) -> Column:
@@ -125,8 +123,8 @@ def fit_bayes(
             _value_shares(features, labels, classes, sizes, label_col, id_col), "feature"
         )
     params = materialize(params, "bayes")
-    terms = _terms(F.lit(0.0), density, log_terms, len(classes))
-    sums = params.select([F.coalesce(F.sum(t), F.lit(0.0)) for t in terms]).first()
+    terms = _terms("0D", density, log_terms, len(classes))
+    sums = params.select([F.expr(f"coalesce(sum({t}), 0D)") for t in terms]).first()
     return BayesModel(density, log_terms, classes, log_priors, list(sums), params)
 
 
@@ -166,20 +164,19 @@ def _value_shares(features, labels, classes, sizes, label_col, id_col) -> DataFr
     return per_feature.select("feature", F.array(*structs).alias("values"))
 
 
-def _terms(x: Column, density: str, log_terms: bool, n_classes: int) -> list[Column]:
+def _terms(x: str, density: str, log_terms: bool, n_classes: int) -> list[str]:
     """One likelihood term per class for value ``x``; undefined terms count 0."""
     terms = []
     for i in range(n_classes):
-        cell = F.get("moments", F.lit(i))
+        mean, std, value = f"moments[{i}].mean", f"moments[{i}].std", f"values[{i}]"
         if density == "gaussian":
-            term = gaussian_log_density(x, cell["mean"], cell["std"])
+            term = gaussian_log_density(x, mean, std)
         elif density == "bernoulli":
-            term = bernoulli_term(x, cell["mean"], log_terms)
+            term = bernoulli_term(x, mean, log_terms)
         else:
-            cell = F.get("values", F.lit(i))
-            seen = F.when(x == 0, cell["zero"]).otherwise(F.try_element_at(cell["shares"], x))
+            seen = f"if({x} = 0, {value}.zero, try_element_at({value}.shares, {x}))"
             term = probability_term(seen, log_terms)
-        terms.append(F.coalesce(term, F.lit(0.0)))
+        terms.append(f"coalesce({term}, 0D)")
     return terms
 
 
@@ -196,17 +193,16 @@ def log_posterior(
         features.join(ids.select(id_col), id_col, "left_semi").where(F.col("value").isNotNull()),
         model.params, "feature", id_col, row_bytes=64 + 48 * k, broadcast_limit=broadcast_limit,
     )
-    at_value = _terms(F.col("value"), model.density, model.log_terms, k)
-    at_zero = _terms(F.lit(0.0), model.density, model.log_terms, k)
+    at_value = _terms("value", model.density, model.log_terms, k)
+    at_zero = _terms("0D", model.density, model.log_terms, k)
     sums = joined.groupBy(id_col).agg(
-        *[F.sum(v - z).alias(f"d{i}") for i, (v, z) in enumerate(zip(at_value, at_zero))]
+        *[F.expr(f"sum({v} - {z})").alias(f"d{i}") for i, (v, z) in enumerate(zip(at_value, at_zero))]
     )
     scored = ids.select(id_col).join(sums, id_col, "left")
-    totals = [
-        F.lit(model.log_priors[i]) + F.lit(model.base[i]) + F.coalesce(f"d{i}", F.lit(0.0))
-        for i in range(k)
-    ]
-    scored = scored.select(id_col, F.array(*totals).alias("scores"))
+    totals = ", ".join(
+        f"{literal(float(model.log_priors[i] + model.base[i]))} + coalesce(d{i}, 0D)" for i in range(k)
+    )
+    scored = scored.select(id_col, F.expr(f"array({totals})").alias("scores"))
     top = F.array_max("scores")
     log_sum = top + F.ln(
         F.aggregate("scores", F.lit(0.0), lambda acc, s: acc + F.exp(s - top))

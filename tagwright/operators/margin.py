@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import kernels as kn
+from ..functions.density import literal, literal_array
 from ..sources.scratch import materialize
 from .bayes import class_sizes, moment_arrays
 from .blocks import kernel_sum
@@ -24,19 +25,14 @@ def class_mean_model(
     """The hyperplane halfway between a class's mean and the mean of all other rows, for
     every class.  It needs no solver and can stand in for a fitted model anywhere."""
     sizes = class_sizes(labels, label_col)
-    total = sum(sizes.values())
     arrays = moment_arrays(features, labels, sizes, label_col, id_col)
-    means = [F.get("moments", F.lit(i))["mean"] for i in range(len(sizes))]
-    overall = sum((m * F.lit(float(n)) for m, n in zip(means, sizes.values())), F.lit(0.0))
-    cells = [
-        F.struct(
-            F.lit(c).alias("model_id"), m.alias("pos"),
-            F.try_divide(F.col("overall") - m * F.lit(float(n)), F.lit(float(total - n))).alias("neg"),
-        )
-        for (c, n), m in zip(sizes.items(), means)
-    ]
-    sides = arrays.withColumn("overall", overall).select(
-        F.col("feature").cast("string").alias("feature"), F.inline(F.array(*cells))
+    classes, counts = literal_array(sizes), literal_array(float(n) for n in sizes.values())
+    total = literal(float(sum(sizes.values())))
+    sums = f"aggregate(zip_with(moments, {counts}, (m, n) -> m.mean * n), 0D, (a, v) -> a + v)"
+    cells = f"""inline(transform(moments, (m, i) -> named_struct('model_id', {classes}[i], 'pos', m.mean,
+        'neg', try_divide(overall - m.mean * {counts}[i], {total} - {counts}[i]))))"""
+    sides = arrays.withColumn("overall", F.expr(sums)).select(
+        F.col("feature").cast("string").alias("feature"), F.expr(cells)
     )
     sides = materialize(sides, "class-means")
     weights = sides.select("model_id", "feature", (F.col("pos") - F.col("neg")).alias("weight"))
