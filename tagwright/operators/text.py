@@ -7,11 +7,14 @@ and joins on the document id then need no further exchange.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import text as tx
+from ..functions.density import literal_array
 from ..sources.scratch import materialize
 from .lookup import BROADCAST_BYTES, HOT_MIN_ROWS, key_frequency, lookup_join, spread_join
 
@@ -215,7 +218,7 @@ def spanning_ngrams(tokens: DataFrame, n: int, id_col: str = "doc_id") -> DataFr
         lambda s: (s["i"] < edge) | (s["i"] >= size - edge),
     )
     edges = tokens.select(id_col, size.cast("long").alias("size"), near_edge.alias("edge"))
-    placed = stream_offsets(edges, "size", id_col)
+    placed = stream_offsets(materialize(edges, "edges"), "size", id_col)
     slots = placed.select("offset", F.explode("edge").alias("t")).select(
         (F.col("offset") + F.col("t.i")).alias("pos"),
         F.col("t.token").alias("token"),
@@ -241,21 +244,21 @@ def stream_offsets(rows: DataFrame, size_col: str, id_col: str) -> DataFrame:
     and the totals of the earlier ranges are added.  The cut points are literals, so every
     run of the plan places a row in the same range."""
     n_ranges = max(rows.count() // ROWS_PER_RANGE, 8)
-    shares = F.array(*[F.lit(i / n_ranges) for i in range(1, n_ranges)])
+    shares = F.expr(literal_array(i / n_ranges for i in range(1, n_ranges)))
     cuts = rows.select(F.percentile_approx(id_col, shares, F.lit(10 * n_ranges)).alias("c")).first()
-    cuts = sorted(set(cuts["c"] or []))
-    bounds = F.array(*[F.lit(c) for c in cuts]) if cuts else F.array().cast("array<long>")
-    in_range = F.size(F.filter(bounds, lambda c: c < F.col(id_col)))
-    ranged = rows.withColumn("_range", in_range)
+    cuts = sorted({float(c) for c in cuts["c"] or [0]})
+    bucketizer = Bucketizer(
+        splits=[-math.inf, *cuts, math.inf], inputCol="_position", outputCol="_range"
+    )
+    ranged = bucketizer.transform(rows.withColumn("_position", F.col(id_col).cast("double")))
+    ranged = ranged.drop("_position").withColumn("_range", F.col("_range").cast("int"))
     totals = {r[0]: r[1] for r in ranged.groupBy("_range").agg(F.sum(size_col)).collect()}
-    before, running = [], 0
-    for i in range(len(cuts) + 1):
-        before.append(F.lit(running).cast("long"))
-        running += totals.get(i, 0)
+    before = [0]
+    for i in range(len(cuts)):
+        before.append(before[-1] + totals.get(i, 0))
     inside = Window.partitionBy("_range").orderBy(id_col).rowsBetween(Window.unboundedPreceding, -1)
-    offset = F.coalesce(F.sum(size_col).over(inside), F.lit(0)) + F.get(
-        F.array(*before), F.col("_range")
-    )
+    earlier = F.get(F.expr(literal_array(before)), F.col("_range"))
+    offset = F.coalesce(F.sum(size_col).over(inside), F.lit(0)) + earlier
     return ranged.withColumn("offset", offset.cast("long")).drop("_range")
 
 
