@@ -47,9 +47,13 @@ def diversity_query(
             raise ValueError("the pool is empty")
         picks.append((first[id_col], 0))
 
-    def sums(anchors: DataFrame) -> DataFrame:
+    n_rows = rows.count()
+
+    def sums(anchors: DataFrame, n_anchors: int | None = None) -> DataFrame:
         tagged = anchors.select(F.lit("all").alias("model_id"), id_col, F.lit(1.0).alias("coef"), "vec")
-        totals = kernel_sum(rows, tagged, kind, gamma, coef0, degree, cosine=True, id_col=id_col)
+        totals = kernel_sum(
+            rows, tagged, kind, gamma, coef0, degree, cosine=True, id_col=id_col, n_rows=n_rows, n_anchors=n_anchors
+        )
         return totals.select(F.col("id").alias(id_col), "total")
 
     anchors = labeled.select(id_col, "vec")
@@ -66,7 +70,7 @@ def diversity_query(
         current = scores
         if recent:
             chosen = rows.where(F.col(id_col).isin(recent))
-            current = scores.withColumnRenamed("total", "before").join(sums(chosen), id_col).withColumn(
+            current = scores.withColumnRenamed("total", "before").join(sums(chosen, len(recent)), id_col).withColumn(
                 "total", F.col("before") + F.col("total")
             ).drop("before")
         if len(recent) >= STEPS_PER_TABLE:
