@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from .contamination import benchmark_hits, contaminated
 from .pieces import encode_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +40,41 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
+
+
+UPPER, LOWER_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+OP3_SQL = rf"""WITH dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER_LETTERS}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+iw AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER_LETTERS}'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, least(13, len(w)) AS m, array_to_string(w[s:s + 12], ' ') AS t
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS s FROM iw WHERE len(w) > 0)),
+dwin AS (
+  SELECT doc_id, m, s, array_to_string(w[s:s + m - 1], ' ') AS t
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS s
+        FROM dw CROSS JOIN (SELECT DISTINCT m FROM win) WHERE len(w) >= m)),
+occ AS (SELECT doc_id, s, item_id, win.m FROM dwin JOIN win ON dwin.m = win.m AND dwin.t = win.t),
+hit AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + m)) AS p FROM occ) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM occ) GROUP BY doc_id)
+SELECT dw.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM dw LEFT JOIN hit ON dw.doc_id = hit.doc_id LEFT JOIN its ON dw.doc_id = its.doc_id"""
+
+
+@query("op3_decontamination", OP3_SQL)
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document inside benchmark windows, and the items they come from."""
+    found = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
+    )
