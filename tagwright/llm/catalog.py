@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .contamination import benchmark_hits, contaminated
+from .jaccard import similar_groups
 from .pieces import encode_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +79,28 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         contaminated(F.col("n_hit"), F.col("n_words")).alias("contaminated"),
     )
+
+
+OP10_SQL = rf"""WITH RECURSIVE dw AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER_LETTERS}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 4], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s FROM dw WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM sh x JOIN sh y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY ALL),
+link AS (
+  SELECT a, b FROM common JOIN n p ON a = p.doc_id JOIN n q ON b = q.doc_id WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach(doc_id, m) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT link.b, reach.m FROM reach JOIN link ON reach.doc_id = link.a)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(m) AS component_id
+FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN reach r ON d.doc_id = r.doc_id GROUP BY ALL"""
+
+
+@query("op10_jaccard_join", OP10_SQL)
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose word shingles are three quarters common."""
+    return similar_groups(table(spark, sf_dir, "documents"))
