@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
 from .pieces import encode_documents
+from .vectors import cosine_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -104,3 +105,25 @@ FROM documents d LEFT JOIN n ON d.doc_id = n.doc_id JOIN reach r ON d.doc_id = r
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose word shingles are three quarters common."""
     return similar_groups(table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = """WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, x -> x <> 0)) > 0),
+link AS (
+  SELECT p.vec_id AS a, q.vec_id AS b
+  FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id AND len(p.e) = len(q.e)
+  WHERE list_cosine_similarity(p.e, q.e) >= 0.93),
+n AS (SELECT a, count(*) AS n FROM link GROUP BY a),
+reach(vec_id, m) AS (
+  SELECT vec_id, vec_id FROM embeddings UNION SELECT link.b, reach.m FROM reach JOIN link ON reach.vec_id = link.a)
+SELECT d.vec_id, coalesce(n.n, 0) AS n_links, min(m) AS component_id, d.vec_id = min(m) AS kept
+FROM embeddings d LEFT JOIN n ON d.vec_id = n.a JOIN reach r ON d.vec_id = r.vec_id GROUP BY d.vec_id, n.n"""
+
+
+@query("op8_embedding_dedup", OP8_SQL)
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors of equal label, one row per vector."""
+    return cosine_links(table(spark, sf_dir, "embeddings"))
