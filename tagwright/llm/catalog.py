@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
 from .pieces import encode_documents
+from .substrings import remove_repeats
 from .vectors import cosine_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +128,13 @@ FROM embeddings d LEFT JOIN n ON d.vec_id = n.a JOIN reach r ON d.vec_id = r.vec
 def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate vectors of equal label, one row per vector."""
     return cosine_links(table(spark, sf_dir, "embeddings"))
+
+
+@query("op6_suffix_dedup")
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document outside repeated 200-byte strings."""
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
