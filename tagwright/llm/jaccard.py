@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from ..operators.lookup import fits_broadcast
 from ..sources.scratch import materialize
 from .arrays import LOWER, SPACES, U64, shingles, signed, slice_hashes, utf8, words
 from .graph import components
@@ -202,8 +203,16 @@ def similar_groups(
     tried = materialize(
         with_hub.where((F.col("id") != F.col("a")) & _possible(share)).select("a", F.col("id").alias("b")).distinct(), "hub-pairs"
     )
-    members = chosen.select("id", "members")
-    links = materialize(_verified(tried, members, share), "hub-links")
+
+    def members_of(pairs: DataFrame) -> DataFrame:
+        """The sets in a stored table of pairs; the others don't move if the ids are few."""
+        ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        rows = shared.select("id", "f1", "f2", "members")
+        if fits_broadcast(2 * pairs.count(), 16):
+            rows = rows.join(F.broadcast(ids), "id", "left_semi")
+        return rows.join(classes.select(F.col("class").alias("id"), "f1", "f2"), ["id", "f1", "f2"]).select("id", "members")
+
+    links = materialize(_verified(tried, members_of(tried), share), "hub-links")
     groups = materialize(components(links), "hub-groups")
 
     grouped = lists.join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -212,13 +221,14 @@ def similar_groups(
     other = open_lists.select(
         "token", F.col("id").alias("b"), F.col("n").alias("n2"), F.col("pos").alias("pos2"), F.col("component").alias("component2")
     )
-    rest = (
+    rest = materialize(
         open_lists.join(other, "token")
         .where((F.col("id") < F.col("b")) & (F.col("component") != F.col("component2")) & _possible(share))
         .select(F.col("id").alias("a"), "b").distinct()
-        .join(tried, ["a", "b"], "left_anti")
+        .join(tried, ["a", "b"], "left_anti"),
+        "cross-pairs",
     )
-    more = materialize(_verified(rest, members, share), "cross-links")
+    more = materialize(_verified(rest, members_of(rest), share), "cross-links")
     final = components(links.union(more))
 
     named = classes.join(final.withColumnRenamed("id", "class"), "class", "left").select(
