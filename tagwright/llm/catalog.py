@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
+from .lines import deduplicate_lines
 from .pieces import encode_documents
 from .substrings import remove_repeats
 from .vectors import cosine_links
@@ -138,3 +139,43 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", (F.size("spans") / 2).cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+OP7_SQL = r"""WITH ln AS (
+  SELECT doc_id, i - 1 AS no, parts[i] AS line
+  FROM (SELECT doc_id, string_split(text, chr(10)) AS parts,
+               unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text IS NOT NULL)),
+judged AS (
+  SELECT doc_id, no, w, array_to_string(w, ' ') AS t
+  FROM (SELECT doc_id, no, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w FROM ln) WHERE len(w) >= 5),
+cls AS (SELECT t, any_value(w) AS w, min((doc_id, no)) AS first FROM judged GROUP BY t),
+del AS (
+  SELECT t, first, i, md5(array_to_string(w[:i - 1] || w[i + 1:], ' ')) AS v
+  FROM (SELECT t, first, w, unnest(range(1, len(w) + 1)) AS i FROM cls)),
+same AS (SELECT v, i, min(first) AS m FROM del GROUP BY v, i),
+whole AS (SELECT md5(t) AS v, first AS m FROM cls),
+less AS (SELECT v, min(first) AS m FROM del GROUP BY v),
+near AS (
+  SELECT DISTINCT t FROM (
+    SELECT del.t FROM del JOIN same ON del.v = same.v AND del.i = same.i WHERE same.m < del.first
+    UNION ALL SELECT del.t FROM del JOIN whole ON del.v = whole.v WHERE whole.m < del.first
+    UNION ALL SELECT cls.t FROM cls JOIN less ON md5(cls.t) = less.v WHERE less.m < cls.first)),
+gone AS (
+  SELECT j.doc_id, j.no FROM judged j JOIN cls ON j.t = cls.t LEFT JOIN near ON j.t = near.t
+  WHERE (j.doc_id, j.no) > cls.first OR near.t IS NOT NULL),
+kept AS (
+  SELECT ln.doc_id, count(*) AS n_lines, count(gone.no) AS n_removed,
+    string_agg(line, chr(10) ORDER BY ln.no) FILTER (WHERE gone.no IS NULL) AS body
+  FROM ln LEFT JOIN gone ON ln.doc_id = gone.doc_id AND ln.no = gone.no GROUP BY ln.doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed,
+  CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(body, '')) END AS text_sha256
+FROM documents d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+
+@query("op7_line_dedup", OP7_SQL)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document that repeat an earlier one up to a word."""
+    found = deduplicate_lines(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("text_sha256")
+    )
