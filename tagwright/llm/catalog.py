@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from . import language
 from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
 from .lines import deduplicate_lines
@@ -179,3 +180,18 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("text_sha256")
     )
+
+
+@query("op5_language_id")
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document (declared by its column, address: its source) and of every
+    page (declared by its html tag, address: its host)."""
+    docs, pages = table(spark, sf_dir, "documents"), table(spark, sf_dir, "pages")
+    model = language.fit_text(docs)
+    one = language.identify(docs, model, docs["text"], docs["lang"], docs["source"], ["doc_id"])
+    html = pages["html"]
+    two = language.identify(
+        pages, model, language.page_text(html), language.page_language(html), language.host(pages["url"]), ["page_id"]
+    )
+    both = one.unionByName(two, allowMissingColumns=True)
+    return both.select("doc_id", "page_id", "language", F.round("confidence", 6).alias("confidence"), "accepted")
