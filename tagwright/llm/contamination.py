@@ -155,7 +155,7 @@ def _occurrences(index: dict, lookup: _Lookup, hashes: np.ndarray, doc: np.ndarr
 
 
 def _scan(docs: DataFrame, index: dict) -> DataFrame:
-    """``docs`` (_id, _text, n_words, n_hit, spans, items) with a block's hits added."""
+    """``docs`` (_id, _text, n_words, n_hit, spans, items, _carry) with a block's hits added."""
     shared = docs.sparkSession.sparkContext.broadcast(index)
     schema = docs.schema
 
@@ -191,7 +191,7 @@ def _scan(docs: DataFrame, index: dict) -> DataFrame:
                     block.column("_id"), block.column("_text"), pa.array(counts.astype(np.int64)),
                     pa.array(np.bincount(doc[hit], minlength=n).astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(span_ends), pa.array(pairs)),
-                    pa.array([sorted(set(x)) for x in names], pa.list_(pa.string())),
+                    pa.array([sorted(set(x)) for x in names], pa.list_(pa.string())), block.column("_carry"),
                 ],
                 names=schema.names,
             )
@@ -208,21 +208,23 @@ def benchmark_hits(
     item_id: str = "item_id",
     item_text: str = "text",
     block_windows: int = BLOCK_WINDOWS,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """(id, n_words, n_hit, spans, items) per document row: its words, those inside an
+    """(id, n_words, n_hit, spans, items, carried columns) per document row: its words, those inside an
     occurrence of an item window, the hit word ranges as start, end, start, end ..., and the
     ids of the items found, as strings in their order.
 
     Null and empty texts have no words and no hits; an item without words has no window; a
     null item id counts as ''.  Repeated rows are judged one by one, equal windows of several
-    items count for each of them, and columns besides id and text are not read.  Without any
-    window nothing is hit."""
+    items count for each of them, and columns that are not carried are not read.  Without
+    any window nothing is hit."""
     windows = materialize(item_windows(items, item_id, item_text, size), "windows")
     n_blocks = max(1, -(-windows.count() // block_windows))
+    carried = F.struct(*[docs[c] for c in carry]) if carry else F.lit(0)
     out = docs.select(
         docs[id_column].alias("_id"), docs[text].alias("_text"), F.lit(0).cast("long").alias("n_words"),
         F.lit(0).cast("long").alias("n_hit"), F.array().cast("array<int>").alias("spans"),
-        F.array().cast("array<string>").alias("items"),
+        F.array().cast("array<string>").alias("items"), carried.alias("_carry"),
     )
     texts = docs.select(docs[text].alias("_text"))
     for i in range(n_blocks):
@@ -235,7 +237,8 @@ def benchmark_hits(
         out = _scan(out, index)
         if i + 1 < n_blocks:
             out = materialize(out, "hits")
-    return out.select(F.col("_id").alias(id_column), "n_words", "n_hit", "spans", "items")
+    rest = [F.col("_carry")[c].alias(c) for c in carry]
+    return out.select(F.col("_id").alias(id_column), "n_words", "n_hit", "spans", "items", *rest)
 
 
 def contaminated(n_hit, n_words, share: int = 20):

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .arrays import SPACES, U64, mix, powers, ranges, slice_hashes, utf8, words
 from .rounds import ask, column, part_of, replied, reply, sizes, text_of
@@ -122,7 +122,6 @@ def deduplicate_lines(
     fewer than ``min_words`` words always stay and remove nothing.  Null ids come last.  Lines
     at one place of rows with the same id are not earlier than each other.  A null text stays
     null and has no line.  Columns that are not carried are not read."""
-    kind = docs.schema[id_column].dataType.simpleString()
     carried = F.struct(*[docs[c] for c in carry]) if carry else F.lit(0)
     source = docs.select(docs[id_column].alias("_id"), docs[text].alias("_text"), carried.alias("_carry"))
     chunks, bits = sizes(source)
@@ -239,9 +238,12 @@ def deduplicate_lines(
     told = keys.groupBy("part").applyInArrow(tell_keys, KEY_TOLD)
     both = half.withColumn("round", F.lit(0)).unionByName(told.withColumn("round", F.lit(1)), allowMissingColumns=True)
     full = source.withColumn("chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(chunks)))
-    kind_of_carry = full.schema["_carry"].dataType.simpleString()
-    out = full.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(
-        finish, f"id {kind}, text string, n_lines long, removed array<int>, carry {kind_of_carry}"
-    )
+    schema = T.StructType(
+        [
+            T.StructField("id", docs.schema[id_column].dataType), T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()),
+            T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("carry", full.schema["_carry"].dataType),
+        ]
+    )
+    out = full.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(finish, schema)
     rest = [F.col("carry")[c].alias(c) for c in carry]
     return out.select(F.col("id").alias(id_column), F.col("text").alias(text), "n_lines", "removed", *rest)
