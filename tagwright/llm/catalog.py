@@ -12,6 +12,7 @@ from .jaccard import similar_groups
 from .lines import deduplicate_lines
 from .pieces import encode_documents
 from .substrings import remove_repeats
+from .surrogates import replace_entities
 from .vectors import cosine_links
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -195,3 +196,10 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     both = one.unionByName(two, allowMissingColumns=True)
     return both.select("doc_id", "page_id", "language", F.round("confidence", 6).alias("confidence"), "accepted")
+
+
+@query("op9_pii_surrogates")
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced by surrogates."""
+    found = replace_entities(table(spark, sf_dir, "documents"), "registered-query")
+    return found.select("doc_id", "n_entities", "text")
