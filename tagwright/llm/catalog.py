@@ -11,6 +11,7 @@ from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
 from .lines import deduplicate_lines
 from .pieces import encode_documents
+from .quality import score_documents
 from .substrings import remove_repeats
 from .surrogates import replace_entities
 from .vectors import cosine_links
@@ -203,3 +204,13 @@ def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced by surrogates."""
     found = replace_entities(table(spark, sf_dir, "documents"), "registered-query")
     return found.select("doc_id", "n_entities", "text")
+
+
+@query("op4_quality_classifier")
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under a model of the documents labelled good."""
+    found = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select(
+        "doc_id", "language", "trusted", "n_bytes", F.round("cross_entropy", 5).alias("cross_entropy"),
+        F.round(F.exp("cross_entropy"), 3).alias("perplexity"), "threshold", "kept",
+    )
