@@ -10,6 +10,7 @@ from . import language
 from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
 from .lines import deduplicate_lines
+from .passages import near_passages
 from .pieces import encode_documents
 from .quality import score_documents
 from .substrings import remove_repeats
@@ -214,3 +215,9 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "language", "trusted", "n_bytes", F.round("cross_entropy", 5).alias("cross_entropy"),
         F.round(F.exp("cross_entropy"), 3).alias("perplexity"), "threshold", "kept",
     )
+
+
+@query("op1_substring_dedup")
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat, nearly or exactly, in any document."""
+    return near_passages(table(spark, sf_dir, "documents"))
