@@ -11,7 +11,7 @@ from ..sources.scratch import materialize
 from ..sources.tables import vector_features
 from .bayes_queries import VECTOR_SPLIT, vector_split
 from .neighbour_queries import DOT, following_pairs
-from .registry import query, rounded, vectors
+from .registry import query, rounded, table, vectors
 
 GAMMA = default_gamma(64)
 DEGREE, COEF0 = 3, 1.0
@@ -372,7 +372,8 @@ def tag_labeled(spark, sf_dir):
     return qs.tag_labeled(tasks, {c: f"class {c}" for c in range(10)})
 
 
-SMALL = tr.MarginParams(n_components=128, max_passes=25)
+FIT = tr.MarginParams()  # 1,024 random features, to a thousandth of the first gradient
+SEARCH = tr.MarginParams(tolerance=1e-2)  # the 245 fits of a grid search
 
 
 def _binary_sets(spark, sf_dir):
@@ -384,47 +385,125 @@ def _binary_sets(spark, sf_dir):
 @query("fit_margin")
 def fit_margin(spark, sf_dir):
     training, testing = _binary_sets(spark, sf_dir)
-    model = tr.fit_margin(training.select("id", "vec"), training.select("id", "classLabel"), SMALL)
+    model = tr.fit_margin(training.select("id", "vec"), training.select("id", "classLabel"), FIT)
     return mg.predict_sign(tr.margin_decisions(testing.select("id", "vec"), model))
 
 
 @query("cv_predictions")
 def cv_predictions(spark, sf_dir):
     training, _ = _binary_sets(spark, sf_dir)
-    points = [(c, g) for c in ev.power_list(-2, 4, 2) for g in ev.power_list(-6, -1, 2)]
-    return tr.cv_predictions(training.select("id", "vec"), training.select("id", "classLabel"), points, 5, SMALL)
+    points = [(c, g) for c in ev.power_list(-4, 10, 2) for g in ev.power_list(-10, 3, 2)]
+    return tr.cv_predictions(training.select("id", "vec"), training.select("id", "classLabel"), points, 5, SEARCH)
+
+
+OPTIMALITY = f"""WITH {VECTOR_SPLIT} SELECT DISTINCT label::VARCHAR AS model_id, true AS fitted, true AS better_than_zero,
+  true AS restored FROM embeddings"""
+
+
+@query("fit_optimality", OPTIMALITY)
+def fit_optimality(spark, sf_dir):
+    """One model per class: fitted to the tolerance, with a smaller objective than no weights at
+    all, and unchanged by a round trip through its table."""
+    training, _ = vector_split(spark, sf_dir)
+    labeled = training.select("id", "classLabel")
+    classes = [r[0] for r in table(spark, sf_dir, "embeddings").select("label").distinct().collect()]
+    model = multiclass.train_per_class(training.select("id", "vec"), labeled, classes, FIT)
+    again = tr.MarginModel.from_table(materialize(model.table(spark), "model"))
+    same = bool((again.weights == model.weights).all()) and again.specs == model.specs
+    n = labeled.where("classLabel is not null").count()
+    zero = F.col("C") * F.lit(n * (1 - FIT.smooth / 2))
+    return model.table(spark).select(
+        "model_id", (F.col("gradient") <= FIT.tolerance).alias("fitted"), (F.col("loss") < zero).alias("better_than_zero"),
+        F.lit(same).alias("restored"),
+    )
+
+
+CV_FOLDS = f"""WITH {VECTOR_SPLIT}, y AS (SELECT id, (classLabel = 3)::INTEGER AS y FROM sp WHERE train AND classLabel IS NOT NULL),
+  r AS (SELECT id, y, row_number() OVER (PARTITION BY y ORDER BY md5('7:' || id), id) AS k FROM y)
+  SELECT id, y AS label, ((k - 1) % 5)::INTEGER AS fold FROM r"""
+
+
+@query("cv_folds", CV_FOLDS)
+def cv_folds(spark, sf_dir):
+    """The fold in which each row is held out."""
+    training, _ = _binary_sets(spark, sf_dir)
+    rows = tr.training_table(training.select("id", "vec"), training.select("id", "classLabel"), folds=5, seed=FIT.seed)
+    return rows.select("id", "label", "fold")
 
 
 @query("platt_probabilities")
 def platt_probabilities(spark, sf_dir):
     training, testing = _binary_sets(spark, sf_dir)
     x, y = training.select("id", "vec"), training.select("id", "classLabel")
-    held_out = tr.cv_decisions(x, y, [(SMALL.C, GAMMA)], 5, SMALL).select("id", "decision")
+    held_out = tr.cv_decisions(x, y, [(FIT.C, GAMMA)], 5, FIT).select("id", "decision")
     calibration = tr.calibrate(held_out, y)
-    scores = tr.margin_decisions(testing.select("id", "vec"), tr.fit_margin(x, y, SMALL))
+    scores = tr.margin_decisions(testing.select("id", "vec"), tr.fit_margin(x, y, FIT))
     return tr.probabilities(scores, calibration)
 
 
 @query("active_loop")
 def active_loop(spark, sf_dir):
-    """Two rounds of ten uncertain rows, labels taken from the table."""
+    """Two rounds of ten uncertain rows, labels taken from the table, with a balanced grid search
+    and fit at every rebuild."""
     training, testing = _binary_sets(spark, sf_dir)
     everything = vectors(spark, sf_dir).select("id", "vec")
-    config = active.LearnerConfig("three", SMALL, grid=None)
+    config = active.LearnerConfig("three", SEARCH, grid={"folds": 3, "c_range": (-2, 3, 2), "g_range": (-6, 1, 2)})
     state = active.LearnerState(
         config, everything, training.select("id", "classLabel"), training.select("id", "classLabel").limit(0),
         testing.select("id", "classLabel"),
     )
     state = active.seed_training(state, 40)
     labels = training.select("id", F.col("classLabel").alias("label"))
-    state = active.active_learn(state, labels, 20)
+    state = active.active_learn(state, labels, 20, balance_first=True)
     return state.labeled
 
 
+RANDOM_ROUNDS = f"""WITH {VECTOR_SPLIT}, y AS (SELECT id, (classLabel = 3)::INTEGER AS y FROM sp WHERE train AND classLabel IS NOT NULL),
+  a AS (SELECT id FROM y ORDER BY md5('7:' || id), id LIMIT 40),
+  b AS (SELECT id FROM y WHERE id NOT IN (FROM a) ORDER BY md5('7:' || id), id LIMIT 10),
+  c AS (SELECT id FROM y WHERE id NOT IN (FROM a) AND id NOT IN (FROM b) ORDER BY md5('8:' || id), id LIMIT 10)
+  SELECT id, y AS classLabel, CASE WHEN id IN (FROM a) THEN 0 WHEN id IN (FROM b) THEN 1 ELSE 2 END AS part
+  FROM y WHERE id IN (FROM a) OR id IN (FROM b) OR id IN (FROM c)"""
+
+
+@query("active_random_rounds", RANDOM_ROUNDS)
+def active_random_rounds(spark, sf_dir):
+    """Seed set and two rounds of the loop with random queries: which rows get their labels when."""
+    training, _ = _binary_sets(spark, sf_dir)
+    training = training.where("classLabel is not null")
+    rows = training.select("id", "classLabel")
+    config = active.LearnerConfig("three", FIT)
+    state = active.LearnerState(config, training.select("id", "vec"), rows, rows.limit(0))
+    parts = [active.seed_training(state, 40, build=False)]
+    labels = rows.withColumnRenamed("classLabel", "label")
+    for _ in range(2):
+        parts.append(active.active_learn(parts[-1], labels, 10, active.query_random, rebuild_each=False, build_last=False))
+    out = parts[0].labeled.withColumn("part", F.lit(0))
+    for i in (1, 2):
+        new = parts[i].labeled.join(parts[i - 1].labeled.select("id"), "id", "left_anti")
+        out = out.unionByName(new.withColumn("part", F.lit(i)))
+    return out
+
+
+@query(
+    "conflicting_labels",
+    f"""WITH {VECTOR_SPLIT} SELECT id, CASE WHEN id % 3 = 0 THEN NULL ELSE (id % 2)::INTEGER END AS classLabel,
+      CASE WHEN id % 3 = 0 THEN 'conflicting labels' END AS reason FROM sp""",
+)
+def conflicting_labels(spark, sf_dir):
+    """A feed that repeats every label and contradicts itself for every third id."""
+    pool = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.lit(None).cast("int").alias("classLabel"))
+    once = pool.select("id", (F.col("id") % 2).cast("int").alias("label"))
+    feed = once.union(once).union(once.where("id % 3 = 0").select("id", 1 - F.col("label")))
+    labeled, _, rejected = qs.apply_labels(pool, feed, (0, 1))
+    told = rejected.select("id", F.lit(None).cast("int").alias("classLabel"), "reason").distinct()
+    return labeled.withColumn("reason", F.lit(None).cast("string")).union(told)
+
+
 @query("ovr_train")
 def ovr_train(spark, sf_dir):
     training, testing = vector_split(spark, sf_dir)
     labeled = training.select("id", "classLabel")
     classes = multiclass.class_list(labeled)
-    model = multiclass.train_per_class(training.select("id", "vec"), labeled, classes, SMALL)
+    model = multiclass.train_per_class(training.select("id", "vec"), labeled, classes, FIT)
     return multiclass.predict_classes(testing.select("id", "vec"), model)

@@ -12,8 +12,9 @@ from .pool import minority_stats
 def confusion(
     predictions: DataFrame, by: Sequence[str] = (), label_col: str = "classLabel", pred_col="pred"
 ) -> DataFrame:
-    """tp, fp, tn, fn; a row is positive if its true label is above 0."""
-    right = F.col(label_col) == F.col(pred_col)
+    """tp, fp, tn, fn; a row is positive if its true label is above 0.  A missing prediction is
+    wrong."""
+    right = F.coalesce(F.col(label_col) == F.col(pred_col), F.lit(False))
     positive = F.col(label_col) > 0
     cells = {
         "tp": right & positive, "fp": ~right & ~positive, "tn": right & ~positive, "fn": ~right & positive

@@ -97,8 +97,13 @@ def apply_labels(
     """Move pool rows with a valid delivered label to the labeled set.
 
     ``labels`` is ``(id, label)``.  Returns (newly labeled rows, remaining pool, rejected
-    labels); rejected are labels outside ``allowed`` and labels for ids not in the pool."""
-    valid = labels.where(F.col("label").isin(list(allowed)))
+    labels); rejected are labels outside ``allowed``, labels for ids not in the pool, and all
+    labels of an id that got different ones.  A label delivered twice counts once."""
+    labels = labels.select(id_col, "label").distinct()
+    inside = labels.where(F.col("label").isin(list(allowed)))
+    per_id = inside.groupBy(id_col).agg(F.count(F.lit(1)).alias("_labels"), F.first("label").alias("label"))
+    valid = per_id.where("_labels = 1").select(id_col, "label")
+    several = per_id.where("_labels > 1").select(id_col, F.lit(True).alias("_several"))
     labeled = (
         pool.drop(label_col)
         .join(valid.select(id_col, F.col("label").alias(label_col)), id_col)
@@ -106,10 +111,11 @@ def apply_labels(
     )
     rest = pool.join(valid.select(id_col), id_col, "left_anti")
     known = pool.select(id_col, F.lit(True).alias("_known"))
-    bad = labels.join(known, id_col, "left").where(
-        F.col("_known").isNull() | ~F.coalesce(F.col("label").isin(list(allowed)), F.lit(False))
+    outside = ~F.coalesce(F.col("label").isin(list(allowed)), F.lit(False))
+    bad = labels.join(known, id_col, "left").join(several, id_col, "left").where(
+        F.col("_known").isNull() | outside | F.col("_several").isNotNull()
     )
-    reason = F.when(F.col("_known").isNull(), "not in the pool").otherwise("unknown label")
+    reason = F.when(F.col("_known").isNull(), "not in the pool").when(outside, "unknown label").otherwise("conflicting labels")
     return labeled, rest, bad.select(id_col, "label", reason.alias("reason"))
 
 

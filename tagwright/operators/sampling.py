@@ -8,6 +8,7 @@ from ..functions.order import hash_key
 
 SORTED_LIMIT = 20_000
 DIGITS = 3
+DIGEST = 32  # digits of a whole hash
 
 
 def random_cut(df: DataFrame, n: int, seed: int, id_col: str = "id") -> Column:
@@ -20,7 +21,7 @@ def random_cut(df: DataFrame, n: int, seed: int, id_col: str = "id") -> Column:
         return F.lit(False)
     keys = df.select(hash_key(seed, id_col).alias("h"), F.col(id_col).alias("i"))
     prefix, left = "", n
-    while left > SORTED_LIMIT:
+    while left > SORTED_LIMIT and len(prefix) < DIGEST:
         counts = (
             keys.where(F.col("h").startswith(prefix))
             .groupBy(F.substring("h", len(prefix) + 1, DIGITS).alias("d"))
@@ -34,6 +35,8 @@ def random_cut(df: DataFrame, n: int, seed: int, id_col: str = "id") -> Column:
             left -= row["count"]
         else:
             return F.lit(True)
+    if left > SORTED_LIMIT:
+        raise ValueError(f"more than {SORTED_LIMIT} rows share one {id_col}: no exact subset can be named by ids")
     last = (
         keys.where(F.col("h").startswith(prefix))
         .select(F.struct("h", "i").alias("k"))

@@ -6,7 +6,8 @@ one matrix product per Arrow batch; partial gradients are summed by Spark.  The
 weights only, so its memory depends on the number of models and features, never on rows.
 
 The objective is half the squared weight norm plus C times the hinge loss, the hinge being
-rounded on an interval of width ``SMOOTH`` below margin 1.  An RBF kernel is approximated by
+rounded on an interval of width ``smooth`` below margin 1.  A model is fitted when its gradient
+is at most ``tolerance`` times the first one; a fit that doesn't get there is an error.  An RBF kernel is approximated by
 random Fourier features (Rahimi and Recht 2007): decisions approach those of an exact kernel
 solver as the number of features grows and are not equal to them.
 """
@@ -28,7 +29,6 @@ from .blocks import dense_matrix
 from .evaluate import grid_best, grid_metrics, power_list
 from .sampling import hash_rank
 
-SMOOTH = 0.1
 HISTORY = 8
 BATCH_ROWS = 4_096
 DRIVER_BYTES = 16 << 20
@@ -46,7 +46,8 @@ class MarginParams:
     n_components: int = 1024
     seed: int = 7
     tolerance: float = 1e-3
-    max_passes: int = 60
+    max_passes: int = 5_000
+    smooth: float = 0.1
 
 
 @dataclass(frozen=True)
@@ -61,6 +62,12 @@ class Spec:
     held_out: int | None = None
 
 
+MODEL_SCHEMA = (
+    "number int, model_id string, C double, gamma double, positive int, held_out int, kernel string, n_features int, "
+    "n_components int, seed int, coefs array<double>, bias double, loss double, gradient double, passes int"
+)
+
+
 @dataclass(frozen=True)
 class MarginModel:
     """Weights per model over the mapped features; the last column is the bias."""
@@ -72,20 +79,34 @@ class MarginModel:
     n_components: int
     seed: int
     losses: tuple[float, ...] = field(default=())
+    gradients: tuple[float, ...] = field(default=())  # last over first norm
+    passes: tuple[int, ...] = field(default=())
 
     def table(self, spark) -> DataFrame:
-        """``(model_id, C, gamma, coefs, bias)``, one row per model."""
-        rows = [
-            (s.model_id, float(s.C), float(s.gamma), self.weights[i, :-1].tolist(), float(self.weights[i, -1]))
-            for i, s in enumerate(self.specs)
-        ]
-        return spark.createDataFrame(
-            rows, "model_id string, C double, gamma double, coefs array<double>, bias double"
-        )
+        """One row per model with all that is needed to score with it (``from_table``)."""
+        rows = []
+        for i, s in enumerate(self.specs):
+            fitted = [float(x[i]) if len(x) else None for x in (self.losses, self.gradients)]
+            rows.append(
+                (i, s.model_id, float(s.C), float(s.gamma), s.positive, s.held_out, self.kernel, self.n_features, self.n_components,
+                 self.seed, self.weights[i, :-1].tolist(), float(self.weights[i, -1]), *fitted, self.passes[i] if self.passes else None)
+            )
+        return spark.createDataFrame(rows, MODEL_SCHEMA)
+
+    @staticmethod
+    def from_table(table: DataFrame) -> "MarginModel":
+        """The model that ``table`` was made from; its size is that of the weights."""
+        rows = table.orderBy("number").collect()
+        specs = tuple(Spec(r["model_id"], r["C"], r["gamma"], r["positive"], r["held_out"]) for r in rows)
+        weights = np.array([[*r["coefs"], r["bias"]] for r in rows])
+        one = rows[0]
+        kept = [tuple(r[c] for r in rows) if one[c] is not None else () for c in ("loss", "gradient", "passes")]
+        return MarginModel(one["kernel"], specs, weights, one["n_features"], one["n_components"], one["seed"], *kept)
 
     def subset(self, wanted) -> "MarginModel":
         keep = [i for i, s in enumerate(self.specs) if wanted(s)]
-        return replace(self, specs=tuple(self.specs[i] for i in keep), weights=self.weights[keep])
+        some = {name: tuple(x[i] for i in keep) for name in ("losses", "gradients", "passes") if (x := getattr(self, name))}
+        return replace(self, specs=tuple(self.specs[i] for i in keep), weights=self.weights[keep], **some)
 
     def squared_norms(self) -> dict[str, float]:
         return {s.model_id: float((w[:-1] ** 2).sum()) for s, w in zip(self.specs, self.weights)}
@@ -110,15 +131,15 @@ def _mapper(kernel: str, n_features: int, n_components: int, seed: int):
     return mapped
 
 
-def _rounded_hinge(margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _rounded_hinge(margins: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
     gap = 1.0 - margins
-    loss = np.where(gap >= SMOOTH, gap - SMOOTH / 2, np.square(np.maximum(gap, 0.0)) / (2 * SMOOTH))
-    return loss, np.clip(gap / SMOOTH, 0.0, 1.0)
+    loss = np.where(gap >= smooth, gap - smooth / 2, np.square(np.maximum(gap, 0.0)) / (2 * smooth))
+    return loss, np.clip(gap / smooth, 0.0, 1.0)
 
 
 def _gradient_pass(
     train: DataFrame, specs: Sequence[Spec], weights: np.ndarray, template: MarginModel,
-    label_weights: dict | None, n_parts: int,
+    label_weights: dict | None, n_parts: int, smooth: float,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Loss and gradient of the data term for each model, summed over all rows.
 
@@ -156,7 +177,7 @@ def _gradient_pass(
                         use[:, j] = np.where(positive, label_weights.get(1, 1.0), label_weights.get(0, 1.0))
                     if specs[i].held_out is not None:
                         use[fold == specs[i].held_out, j] = 0.0
-                terms, slope = _rounded_hinge(values * y)
+                terms, slope = _rounded_hinge(values * y, smooth)
                 loss[members] += (terms * use).sum(axis=0)
                 grad[members] -= (slope * y * use).T @ z
         if seen:
@@ -204,7 +225,8 @@ class _Descent:
         self.value, self.grad = np.full(n, np.inf), np.zeros_like(start)
         self.pairs: list[list] = [[] for _ in range(n)]
         self.moving = np.ones(n, dtype=bool)
-        self.first_norm = np.ones(n)
+        self.first_norm, self.norm = np.ones(n), np.full(n, np.inf)
+        self.passes = np.zeros(n, dtype=int)
 
     def trial(self) -> np.ndarray:
         return self.w + self.step[:, None] * self.direction
@@ -224,24 +246,27 @@ class _Descent:
         return -q
 
     def accept(self, members: np.ndarray, trial: np.ndarray, value: np.ndarray, grad: np.ndarray) -> None:
+        self.passes[members] += 1
         for row, i in enumerate(members):
             slope = self.grad[i] @ self.direction[i]
             first = np.isinf(self.value[i])
             if not first and value[row] > self.value[i] + 1e-4 * self.step[i] * slope:
                 self.step[i] /= 2
-                if self.step[i] < 1e-6:
-                    self.moving[i] = False
+                if self.step[i] < 1e-6:  # forget the curvature and go down the gradient, once
+                    self.moving[i] = bool(self.pairs[i])
+                    self.pairs[i] = []
+                    self.step[i], self.direction[i] = 1.0, self._next_direction(i)
                 continue
             if not first:
                 s, y = trial[row] - self.w[i], grad[row] - self.grad[i]
                 if s @ y > 1e-12 * (y @ y):
                     self.pairs[i] = (self.pairs[i] + [(s, y, 1.0 / (s @ y))])[-HISTORY:]
-            gain = np.inf if first else self.value[i] - value[row]
             self.w[i], self.value[i], self.grad[i] = trial[row], value[row], grad[row]
             norm = np.linalg.norm(grad[row])
             if first:
                 self.first_norm[i] = max(norm, 1e-12)
-            if norm <= self.tolerance * self.first_norm[i] or gain <= 1e-9 * max(abs(value[row]), 1.0):
+            self.norm[i] = norm
+            if norm <= self.tolerance * self.first_norm[i]:
                 self.moving[i] = False
                 continue
             self.step[i], self.direction[i] = 1.0, self._next_direction(i)
@@ -291,14 +316,23 @@ def fit_specs(
         if not len(members):
             break
         trial = descent.trial()[members]
-        loss, grad = _gradient_pass(rows, [specs[i] for i in members], trial, model, params.weights, parts)
+        loss, grad = _gradient_pass(rows, [specs[i] for i in members], trial, model, params.weights, parts, params.smooth)
         free = trial.copy()
         free[:, -1] = 0.0
         value = 0.5 * (free**2).sum(axis=1) + penalty[members] * loss
         grad = free + penalty[members][:, None] * grad
         descent.accept(members, trial, value, grad)
     rows.unpersist()
-    return replace(model, weights=descent.w, losses=tuple(descent.value.tolist()))
+    relative = descent.norm / descent.first_norm
+    late = np.flatnonzero(relative > params.tolerance)
+    if len(late):
+        raise RuntimeError(
+            f"{len(late)} of {len(specs)} models not fitted after {int(descent.passes.max())} passes: relative gradient up to {relative.max():.2g}"
+        )
+    return replace(
+        model, weights=descent.w, losses=tuple(descent.value.tolist()), gradients=tuple(relative.tolist()),
+        passes=tuple(descent.passes.tolist()),
+    )
 
 
 def resolve(params: MarginParams, n_features: int) -> MarginParams:
@@ -397,14 +431,15 @@ def grid_search(
     vectors: DataFrame, labels: DataFrame, folds: int = 5, c_range=(-4, 10, 2), g_range=(-10, 3, 2),
     beta: float = 10.0, sens_only: bool = False, linear: bool = False,
     params: MarginParams = MarginParams(), label_col: str = "classLabel", id_col: str = "id",
-) -> tuple[float, float]:
-    """The best (C, gamma) by cross-validation; a linear kernel searches C only."""
+) -> MarginParams:
+    """``params`` with the kernel searched and its best C and gamma by cross-validation; a
+    linear kernel searches C only."""
     gammas = [1.0] if linear else power_list(*g_range)
     points = [(c, g) for c in power_list(*c_range) for g in gammas]
     used = replace(params, kernel="linear") if linear else params
     predicted = cv_predictions(vectors, labels, points, folds, used, label_col, id_col)
     best = grid_best(grid_metrics(predicted, beta, sens_only, label_col=label_col)).first()
-    return best["C"], best["gamma"]
+    return replace(used, C=best["C"], gamma=best["gamma"])
 
 
 def calibrate(

@@ -86,8 +86,7 @@ def rebuild(state: LearnerState, balance_first: bool = False) -> LearnerState:
         known = balance(known, config.seed + state.round)
     params = config.params
     if config.grid is not None:
-        c, gamma = tr.grid_search(state.vectors, known, params=params, **config.grid)
-        params = replace(params, C=c, gamma=gamma)
+        params = tr.grid_search(state.vectors, known, params=params, **config.grid)
     model = tr.fit_margin(state.vectors, known, params)
     fitted = replace(state, model=model, config=replace(config, params=params))
     return replace(fitted, metrics=evaluate(fitted))
@@ -119,7 +118,7 @@ def query_random(state: LearnerState, k: int) -> DataFrame:
 
 def active_learn(
     state: LearnerState, labels: DataFrame, n: int, query: Query = query_uncertain, batch: int = 10,
-    rebuild_each: bool = True, balance_first: bool = False,
+    rebuild_each: bool = True, balance_first: bool = False, build_last: bool = True,
 ) -> LearnerState:
     """Query and label in batches until ``n`` requested labels are reached.
 
@@ -139,23 +138,26 @@ def active_learn(
         if rebuild_each:
             state = rebuild(state, balance_first)
         counted += batch
-    return state if rebuild_each else rebuild(state, balance_first)
+    return state if rebuild_each or not build_last else rebuild(state, balance_first)
 
 
 def save_state(state: LearnerState, path: str) -> None:
     save_learner(
         path, state.config.class_name, state.labeled, state.model.table(state.labeled.sparkSession),
-        state.metrics or {}, state.config.naive_bayes,
+        state.metrics or {}, state.config.naive_bayes, round=state.round,
     )
 
 
 def load_state(state: LearnerState, path: str) -> LearnerState:
-    """Restore flags and metrics of a saved learner; saved rows the pool does not hold come
-    back into the pool.  A learner that was never saved leaves the state as it is."""
+    """Restore model, flags and metrics of a saved learner; saved rows the pool does not hold
+    come back into the pool.  A learner that was never saved leaves the state as it is."""
     spark = state.pool.sparkSession
     saved = load_learner(spark, path, state.config.class_name)
     if saved is None:
         return state
     rows = saved["labeled"].select(*state.pool.columns)
     config = replace(state.config, naive_bayes=saved["naive_bayes"])
-    return replace(state, config=config, metrics=saved["metrics"], pool=prepend_saved(rows, state.pool))
+    return replace(
+        state, config=config, metrics=saved["metrics"], model=tr.MarginModel.from_table(saved["model"]),
+        round=saved.get("round", 0), pool=prepend_saved(rows, state.pool),
+    )

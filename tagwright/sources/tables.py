@@ -8,13 +8,23 @@ from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 RAW_SCHEMA = "id LONG, text STRING, sentiment STRING"
+# What is written is read back as it was: blanks at the edges, empty texts (quoted) apart from
+# nulls (nothing at all), and line ends of any kind inside quotes.
+EXACT_CSV = {
+    "header": True, "quote": '"', "escape": '"', "encoding": "UTF-8", "lineSep": "\n",
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+NULL_CELL = "\x00null\x00"  # stands for an unquoted empty cell while a file is read
+
+
+def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A CSV of quoted cells, which may hold commas, quotes and newlines."""
+    return spark.read.csv(path, schema=schema, multiLine=True, nullValue=NULL_CELL, emptyValue="", **EXACT_CSV)
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: str = RAW_SCHEMA) -> DataFrame:
-    """UTF-8 ``text, label`` CSV; quoted texts may hold commas, quotes and newlines."""
-    return spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8"
-    )
+    """UTF-8 ``text, label`` CSV."""
+    return read_csv(spark, path, schema)
 
 
 def wide_schema(
@@ -30,9 +40,7 @@ def wide_schema(
 
 def read_feature_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Wide feature CSV: id, text, class label, then one column per feature."""
-    return spark.read.csv(
-        path, schema=schema, header=True, multiLine=True, quote='"', escape='"', encoding="UTF-8"
-    )
+    return read_csv(spark, path, schema)
 
 
 def unpivot_features(
@@ -66,7 +74,8 @@ def read_word_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.csv(path, header=True, quote='"', escape='"', encoding="UTF-8")
+    """CSV that ``read_csv`` reads back unchanged."""
+    df.write.csv(path, nullValue="", emptyValue='""', **EXACT_CSV)
 
 
 def write_results(labeled: DataFrame, predictions: DataFrame, path: str) -> None:

@@ -8,7 +8,7 @@ from tagwright.operators import queries as qs, training as tr
 from tagwright.plans import active
 from tagwright.sources.scratch import materialize, scratch_root
 
-PARAMS = tr.MarginParams(n_components=64, max_passes=15)
+PARAMS = tr.MarginParams(n_components=64, tolerance=1e-2)
 
 
 @pytest.fixture(scope="module")

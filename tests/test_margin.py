@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tagwright.operators import evaluate as ev, margin as mg, training as tr
 from tagwright.plans import multiclass
 
-SMALL = tr.MarginParams(n_components=64, max_passes=30)
+SMALL = tr.MarginParams(n_components=64)
 
 
 @pytest.fixture(scope="module")
@@ -75,13 +75,13 @@ def test_partial_sums_add_up_either_way(spark, monkeypatch):
 def test_linear_fit_reaches_the_optimum(spark):
     """The objective is convex: no random step from the result may lower it."""
     x, y = blobs(spark, n=60, gap=1.0)
-    fitted = tr.fit_margin(x, y, tr.MarginParams(kernel="linear", C=1.0, max_passes=200, tolerance=1e-7))
+    fitted = tr.fit_margin(x, y, tr.MarginParams(kernel="linear", C=1.0, tolerance=1e-7))
     rows = x.join(y, "id").collect()
     matrix = np.array([r["vec"] + [1.0] for r in rows])
     sign = np.array([1.0 if r["classLabel"] else -1.0 for r in rows])
 
     def objective(w):
-        return 0.5 * (w[:-1] ** 2).sum() + tr._rounded_hinge(sign * (matrix @ w))[0].sum()
+        return 0.5 * (w[:-1] ** 2).sum() + tr._rounded_hinge(sign * (matrix @ w), 0.1)[0].sum()
 
     best, rng = objective(fitted.weights[0]), np.random.default_rng(1)
     assert best == pytest.approx(fitted.losses[0])
@@ -116,9 +116,10 @@ def test_cross_validation_scores_every_row_once(spark):
     predicted = tr.cv_predictions(x, y, points, 4, SMALL)
     counts = predicted.groupBy("C", "gamma").agg(F.count("*").alias("n"), F.countDistinct("id").alias("d")).collect()
     assert len(counts) == 3 and all(r["n"] == 120 and r["d"] == 120 for r in counts)
-    c, gamma = tr.grid_search(x, y, 3, (-2, 3, 2), (-3, 2, 2), params=SMALL)
+    best = tr.grid_search(x, y, 3, (-2, 3, 2), (-3, 2, 2), params=SMALL)
+    c, gamma = best.C, best.gamma
     assert (c, gamma) in {(c, g) for c in ev.power_list(-2, 3, 2) for g in ev.power_list(-3, 2, 2)}
-    assert tr.grid_search(x, y, 3, (-2, 3, 2), linear=True, params=SMALL)[1] == 1.0
+    assert tr.grid_search(x, y, 3, (-2, 3, 2), linear=True, params=SMALL).kernel == "linear"
 
 
 def test_probabilities(spark):
@@ -174,3 +175,9 @@ def test_grid_choice(spark):
     points = ev.grid_points(spark.range(2), linear=True)
     assert points.count() == 14 and {r["gamma"] for r in points.collect()} == {1.0}
     assert ev.grid_points(spark.range(1)).count() == 49
+
+
+def test_a_fit_that_does_not_converge_is_an_error(spark):
+    x, y = blobs(spark, n=40, gap=1.0)
+    with pytest.raises(RuntimeError, match="not fitted after 3 passes"):
+        tr.fit_margin(x, y, tr.MarginParams(kernel="linear", tolerance=1e-9, max_passes=3))

@@ -139,6 +139,28 @@ def test_saved_learner_round_trip(spark, tmp_path, pool, capsys):
     assert ids(restored) == [1, 2, 3, 4, 5, 6, 7]
 
 
+def test_a_learner_is_saved_over_its_own_rows(spark, tmp_path, pool):
+    path = str(tmp_path)
+    model = spark.createDataFrame([("m", 1.0)], "model_id string, weight double")
+    save_learner(path, "three", pool.where("id < 3"), model, {}, False)
+    first = load_learner(spark, path, "three")["labeled"]
+    save_learner(path, "three", first.union(pool.where("id = 5")), model, {"tp": 1}, False)
+    assert ids(load_learner(spark, path, "three")["labeled"]) == [1, 2, 5] and ids(first) == [1, 2]
+
+
+def test_csv_keeps_every_text(spark, tmp_path):
+    texts = ["", None, " x ", "\t", "a\r\nb", "a\rb", "\r", "a\nb", '"', '""', 'say "a, b"', ",", "\\", "#c", "null", "  "]
+    rows = [(i, t, None if i % 2 else "") for i, t in enumerate(texts)]
+    tables.write_csv(spark.createDataFrame(rows, tables.RAW_SCHEMA), str(tmp_path / "t"))
+    assert sorted(map(tuple, tables.read_raw_csv(spark, str(tmp_path / "t")).collect())) == rows
+
+
+def test_subsets_of_one_repeated_id(spark):
+    df = spark.range(30_000).select(F.lit(1).cast("long").alias("id"))
+    with pytest.raises(ValueError, match="share one id"):
+        sp.random_cut(df, 25_000, 1)
+
+
 def test_results_are_written(spark, tmp_path, pool):
     tables.write_results(pool.where("id < 3"), pool.where("id > 2"), str(tmp_path))
     read = spark.read.csv(str(tmp_path / "all_unlabeled_data_predictions"), header=True)
