@@ -125,7 +125,8 @@ def deduplicate_lines(
     carried = F.struct(*[docs[c] for c in carry]) if carry else F.lit(0)
     source = docs.select(docs[id_column].alias("_id"), docs[text].alias("_text"), carried.alias("_carry"))
     chunks, bits = sizes(source)
-    narrow = source.select("_id", "_text", F.pmod(F.xxhash64("_id", "_text"), F.lit(chunks)).alias("chunk"))
+    # The three rounds read one exchange of these rows.
+    dealt = source.withColumn("chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(chunks)))
     number = lambda table: table.column("chunk")[0].as_py() if table.num_rows else 0
 
     def half_order(lines: _Lines):
@@ -233,17 +234,16 @@ def deduplicate_lines(
             }
         )
 
-    half = narrow.groupBy("chunk").applyInArrow(ask_halves, HALF_ASKED).groupBy("part").applyInArrow(tell_halves, HALF_TOLD)
-    keys = narrow.groupBy("chunk").cogroup(half.groupBy("chunk")).applyInArrow(ask_keys, KEY_ASKED)
+    half = dealt.groupBy("chunk").applyInArrow(ask_halves, HALF_ASKED).groupBy("part").applyInArrow(tell_halves, HALF_TOLD)
+    keys = dealt.groupBy("chunk").cogroup(half.groupBy("chunk")).applyInArrow(ask_keys, KEY_ASKED)
     told = keys.groupBy("part").applyInArrow(tell_keys, KEY_TOLD)
     both = half.withColumn("round", F.lit(0)).unionByName(told.withColumn("round", F.lit(1)), allowMissingColumns=True)
-    full = source.withColumn("chunk", F.pmod(F.xxhash64("_id", "_text"), F.lit(chunks)))
     schema = T.StructType(
         [
             T.StructField("id", docs.schema[id_column].dataType), T.StructField("text", T.StringType()), T.StructField("n_lines", T.LongType()),
-            T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("carry", full.schema["_carry"].dataType),
+            T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("carry", dealt.schema["_carry"].dataType),
         ]
     )
-    out = full.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(finish, schema)
+    out = dealt.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(finish, schema)
     rest = [F.col("carry")[c].alias(c) for c in carry]
     return out.select(F.col("id").alias(id_column), F.col("text").alias(text), "n_lines", "removed", *rest)
