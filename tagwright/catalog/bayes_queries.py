@@ -8,7 +8,7 @@ from ..operators import bayes as nb, text as tx
 from ..operators.sampling import ratio_split
 from ..sources.scratch import materialize
 from ..sources.tables import vector_features
-from .corpus import COUNTS, stopped
+from .corpus import COUNTS, STOPWORDS, documents
 from .registry import query, rounded, table, vectors
 
 VECTOR_SPLIT = """sp AS (SELECT vec_id AS id, label AS classLabel, embedding,
@@ -38,8 +38,11 @@ def vector_split(spark, sf_dir):
 
 
 def text_sets(spark, sf_dir):
-    """Stored sparse term counts, and the labels of the training and testing documents."""
-    counts = tx.bag_of_words(stopped(spark, sf_dir)).select(
+    """Stored sparse term counts of the labeled documents, and the labels of the training and
+    testing ones.  Documents without a label are left out before their texts are taken apart."""
+    known = table(spark, sf_dir, "labels").select("doc_id")
+    docs = documents(spark, sf_dir).join(known, "doc_id", "left_semi")
+    counts = tx.bag_of_words(tx.remove_stopwords(tx.tokenize(docs), STOPWORDS)).select(
         F.col("doc_id").alias("id"), F.col("term").alias("feature"), F.col("tf").cast("double").alias("value")
     )
     counts = materialize(counts, "counts")

@@ -39,14 +39,13 @@ def documents(spark, sf_dir):
 
 
 def stopped(spark, sf_dir):
-    """Cleaned token arrays, documents distributed by id."""
-    docs = tx.by_document(documents(spark, sf_dir))
-    return tx.remove_stopwords(tx.tokenize(docs), STOPWORDS)
+    """Cleaned token arrays."""
+    return tx.remove_stopwords(tx.tokenize(documents(spark, sf_dir)), STOPWORDS)
 
 
 @query("tokens_clean", f"WITH {TOKENS} SELECT doc_id, array_to_string(tokens, ' ') AS text, len(tokens)::BIGINT AS n_tokens FROM tok")
 def tokens_clean(spark, sf_dir):
-    tokens = tx.tokenize(tx.by_document(documents(spark, sf_dir)))
+    tokens = tx.tokenize(documents(spark, sf_dir))
     return tokens.select(
         "doc_id", F.array_join("tokens", " ").alias("text"), F.size("tokens").cast("long").alias("n_tokens")
     )
@@ -166,7 +165,7 @@ def dictionary_share(spark, sf_dir):
 
 
 def _porter_sql() -> str:
-    """The published suffix rules as one CTE per step over distinct tokens, written with
+    """The published suffix rules.  They are given as one CTE per step over distinct tokens, written with
     whole-word patterns instead of the counting used on the Spark side."""
     c, v = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
     m0, m1, m1_only = f"^({c})?{v}{c}", f"^({c})?{v}{c}{v}{c}", f"^({c})?{v}{c}({v})?$"
@@ -247,7 +246,7 @@ STEMMED_TEXT = f"""WITH {EXPLODED}, words AS (SELECT DISTINCT term AS token FROM
 
 @query("stemmed_text", STEMMED_TEXT)
 def stemmed_text(spark, sf_dir):
-    return tx.rejoin(tx.prepare(tx.by_document(documents(spark, sf_dir)), STOPWORDS))
+    return tx.rejoin(tx.prepare(documents(spark, sf_dir), STOPWORDS))
 
 
 PAIR_COUNTS = f"""WITH {COUNTS}, asked AS (SELECT d.doc_id, t.term FROM documents d,

@@ -37,6 +37,25 @@ def without_words(tokens: Column, words: Sequence[str]) -> Column:
     return F.filter(tokens, lambda t: ~t.isin(list(words)))
 
 
+def run_lengths(terms: Column) -> Column:
+    """(term, tf) for each distinct element: run lengths of the sorted array.
+
+    The one-element arrays give the sorted array and the starts of its runs a name, so each is
+    worked out once."""
+
+    def runs(s: Column, starts: Column) -> Column:
+        following = lambda i: F.coalesce(F.get(starts, i + 1), F.size(s) + 1)
+        return F.transform(
+            starts, lambda p, i: F.struct(F.get(s, p - 1).alias("term"), (following(i) - p).cast("long").alias("tf"))
+        )
+
+    def counted(s: Column) -> Column:
+        first = F.filter(F.sequence(F.lit(1), F.size(s)), lambda p: (p == 1) | (F.get(s, p - 1) != F.get(s, p - 2)))
+        return F.transform(F.array(first), lambda starts: runs(s, starts))[0]
+
+    return F.when(F.size(terms) > 0, F.transform(F.array(F.sort_array(terms)), counted)[0])
+
+
 def ngrams(tokens: Column, n: int) -> Column:
     """Contiguous n-token windows joined by a space; empty if there are fewer than n."""
     if n == 1:

@@ -1,8 +1,8 @@
 """From raw documents to term counts, weights and rankings.
 
-Token arrays live on their document row.  ``by_document`` hash-distributes the raw texts by
-id once, which also breaks up oversized input splits; cleaning, counting terms per document
-and joins on the document id then need no further exchange.
+Token arrays live on their document row, and so do the counts of its terms: cleaning,
+stemming and counting are narrow, and texts are never exchanged.  Scan settings decide how
+input files are split.
 """
 
 from __future__ import annotations
@@ -22,19 +22,6 @@ from .lookup import BROADCAST_BYTES, HOT_MIN_ROWS, key_frequency, lookup_join, s
 LITERAL_WORDS = 10_000
 
 
-def by_document(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Distribute documents by id.  The raw text is the smallest form to move: token arrays
-    and counted terms are several times larger."""
-    return docs.repartition(id_col)
-
-
-def enough_splits(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """The documents as they are, or distributed by id if they come in fewer splits than
-    there are cores."""
-    cores = docs.sparkSession.sparkContext.defaultParallelism
-    return docs if docs.rdd.getNumPartitions() >= cores else by_document(docs, id_col)
-
-
 def tokenize(
     docs: DataFrame, min_len: int = 1, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -115,15 +102,11 @@ def prepare(
 
 
 def bag_of_words(tokens: DataFrame, n: int = 1, id_col: str = "doc_id") -> DataFrame:
-    """Occurrences of each n-gram per document.  Absent n-grams count 0 and have no row.
-
-    On documents distributed by id this has no exchange."""
-    return (
-        tokens.select(id_col, tx.explode_tokens(tx.ngrams(F.col("tokens"), n), "term"))
-        .where(tx.present("term"))
-        .groupBy(id_col, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
+    """Occurrences of each n-gram per document row.  Absent n-grams count 0 and have no row.
+
+    Counted inside the row, without an exchange."""
+    counted = tokens.select(id_col, tx.explode_tokens(tx.run_lengths(tx.ngrams(F.col("tokens"), n)), "c"))
+    return counted.where(tx.present("c")).select(id_col, "c.term", "c.tf")
 
 
 def counts_of(pairs: DataFrame, counts: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -35,10 +35,11 @@ def test_contract(spark):
     assert set(SQL) <= set(QUERIES) and contract.entry(spark).columns == ["doc_id", "term", "weight"]
 
 
-def test_texts_move_once(spark):
-    """Counting terms needs the one exchange that distributes the raw texts."""
-    text = plan(QUERIES["bag_of_words"](spark, SF_DIR))
-    assert len(re.findall(r"Exchange hashpartitioning", text)) == 1
+@pytest.mark.parametrize("name", ["tokens_clean", "stopwords_removed", "stemmed_text", "bag_of_words", "ngrams_2"])
+def test_texts_do_not_move(spark, name):
+    """A document is cleaned, stemmed and counted in its row."""
+    text = plan(QUERIES[name](spark, SF_DIR))
+    assert "Exchange" not in text
     scan = re.search(r"ReadSchema: struct<([^>]*)>", text).group(1)
     assert scan == "doc_id:bigint,text:string"
 
