@@ -175,6 +175,31 @@ def multinoulli_scores(spark, sf_dir):
     return _score_rows(model, scored, 4)
 
 
+VECTOR_VALUES = f"""WITH {VECTOR_SPLIT}, n AS (SELECT classLabel, count(*)::DOUBLE AS n FROM sp WHERE train GROUP BY 1),
+  rf AS (SELECT id, classLabel, train, feature, round(value, 1) + 0.0 AS value FROM f),
+  us AS (SELECT feature FROM (SELECT feature, classLabel, stddev_samp(value) AS sd FROM rf WHERE train GROUP BY ALL)
+    GROUP BY feature HAVING bool_and(coalesce(sd > 0, false))),
+  sh AS (SELECT feature, classLabel, value, count(*) AS c FROM rf WHERE train GROUP BY ALL),
+  sc AS (SELECT t.id, n.classLabel, ln(n.n / (SELECT sum(n) FROM n)) + sum(coalesce(c / n.n, 0)) AS score
+    FROM rf t JOIN us ON t.feature = us.feature CROSS JOIN n
+    LEFT JOIN sh ON sh.feature = t.feature AND sh.value = t.value AND sh.classLabel = n.classLabel
+    WHERE NOT train GROUP BY t.id, n.classLabel, n.n)
+  SELECT id, classLabel, round(score, 5) + 0.0 AS score FROM sc"""
+
+
+@query("multinoulli_vectors", VECTOR_VALUES)
+def multinoulli_vectors(spark, sf_dir):
+    """Shares of the rounded components of each class, where a feature has many values."""
+    training, testing = vector_split(spark, sf_dir)
+
+    def cells(rows):
+        return vector_features(rows, "id", "vec").withColumn("value", F.round("value", 1) + F.lit(0.0))
+
+    model = nb.fit_bayes(cells(training), training, "multinoulli")
+    scored = nb.log_posterior(cells(testing), testing, model)
+    return nb.class_rows(scored, model.classes).select("id", "classLabel", rounded("score", 5).alias("score"))
+
+
 @query("multinoulli_log_scores", _posterior_sql(_text_scores_sql(_multinoulli_term("ln(p)")), 4))
 def multinoulli_log_scores(spark, sf_dir):
     model, scored, _ = _text_scores(spark, sf_dir, "multinoulli", log_terms=True)

@@ -94,8 +94,9 @@ def usable_features(moments: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class BayesModel:
-    """``params`` is a stored table with one row per usable feature; its ``term`` maps
-    (for multinoulli) or moments are arrays in the order of ``classes``."""
+    """``params`` is a stored table with one row per usable feature; its moments and shares of
+    zeros are arrays in the order of ``classes``.  ``shares`` (multinoulli) is a stored table with
+    one row per feature and value."""
 
     density: str
     log_terms: bool
@@ -103,6 +104,7 @@ class BayesModel:
     log_priors: list[float]
     base: list[float]
     params: DataFrame
+    shares: DataFrame | None = None
 
 
 def fit_bayes(
@@ -117,51 +119,44 @@ def fit_bayes(
     sizes = class_sizes(labels, label_col)
     classes, total = list(sizes), sum(sizes.values())
     log_priors = [math.log(n / total) for n in sizes.values()]
+    shares = None
     params = moment_arrays(features, labels, sizes, label_col, id_col).where(F.forall("moments", _usable))
     if density == "multinoulli":
-        params = params.join(
-            _value_shares(features, labels, classes, sizes, label_col, id_col), "feature"
-        )
+        zeros, shares = _value_shares(features, labels, classes, sizes, label_col, id_col)
+        params = params.join(zeros, "feature")
     params = materialize(params, "bayes")
     terms = _terms("0D", density, log_terms, len(classes))
     sums = params.select([F.expr(f"coalesce(sum({t}), 0D)") for t in terms]).first()
-    return BayesModel(density, log_terms, classes, log_priors, list(sums), params)
+    return BayesModel(density, log_terms, classes, log_priors, list(sums), params, shares)
+
 
+def _value_shares(features, labels, classes, sizes, label_col, id_col) -> tuple[DataFrame, DataFrame]:
+    """What each value says about the classes, as two tables in the order of ``classes``.
 
-def _value_shares(features, labels, classes, sizes, label_col, id_col) -> DataFrame:
-    """Per feature and class a map from value to its share of the class's rows."""
+    One row per feature with the share of zeros, and one row per feature and value other than
+    zero with its shares, so no row grows with the number of distinct values."""
     known = labels.where(F.col(label_col).isNotNull()).select(id_col, label_col)
-    counts = (
-        features.join(known, id_col)
-        .groupBy("feature", label_col, "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    def of_class(i, c):
-        own = F.col(label_col) == F.lit(c)
-        stored = F.sum(F.when(own & F.col("value").isNotNull() & (F.col("value") != 0), F.col("n")))
-        nulls = F.sum(F.when(own & F.col("value").isNull(), F.col("n")))
-        pairs = F.collect_list(
-            F.when(own & (F.col("value") != 0), F.struct("value", F.col("n").cast("double").alias("n")))
-        )
-        return [
-            F.coalesce(stored, F.lit(0)).cast("double").alias(f"s{i}"),
-            (F.lit(sizes[c]) - F.coalesce(nulls, F.lit(0))).cast("double").alias(f"t{i}"),
-            F.map_from_entries(pairs).alias(f"v{i}"),
-        ]
-    per_feature = counts.groupBy("feature").agg(
-        *[a for i, c in enumerate(classes) for a in of_class(i, c)]
+    counts = materialize(
+        features.join(known, id_col).groupBy("feature", label_col, "value").agg(F.count(F.lit(1)).alias("n")), "value-counts"
     )
-    structs = []
+    own = lambda c, extra: F.sum(F.when((F.col(label_col) == F.lit(c)) & extra, F.col("n")))
+    value = F.col("value")
+    cells = []
+    for i, c in enumerate(classes):
+        cells.append(F.coalesce(own(c, value.isNotNull() & (value != 0)), F.lit(0)).cast("double").alias(f"s{i}"))
+        cells.append((F.lit(sizes[c]) - F.coalesce(own(c, value.isNull()), F.lit(0))).cast("double").alias(f"t{i}"))
+    sums = materialize(counts.groupBy("feature").agg(*cells), "value-sums")
+    zeros = []
     for i in range(len(classes)):
-        total = F.col(f"t{i}")
-        zeros = total - F.col(f"s{i}")
-        structs.append(
-            F.struct(
-                F.when(zeros > 0, zeros / total).alias("zero"),
-                F.transform_values(f"v{i}", lambda _, n: n / total).alias("shares"),
-            )
-        )
-    return per_feature.select("feature", F.array(*structs).alias("values"))
+        left = F.col(f"t{i}") - F.col(f"s{i}")
+        zeros.append(F.struct(F.when(left > 0, left / F.col(f"t{i}")).alias("zero")))
+    seen = counts.where("value <> 0").groupBy("feature", "value").agg(
+        *[own(c, F.lit(True)).cast("double").alias(f"n{i}") for i, c in enumerate(classes)]
+    )
+    totals = sums.select("feature", *[f"t{i}" for i in range(len(classes))])
+    shares = F.array(*[F.col(f"n{i}") / F.col(f"t{i}") for i in range(len(classes))])
+    long = seen.join(totals, "feature").select(F.struct("feature", "value").alias("cell"), shares.alias("shares"))
+    return sums.select("feature", F.array(*zeros).alias("values")), materialize(long, "value-shares")
 
 
 def _terms(x: str, density: str, log_terms: bool, n_classes: int) -> list[str]:
@@ -174,7 +169,7 @@ def _terms(x: str, density: str, log_terms: bool, n_classes: int) -> list[str]:
         elif density == "bernoulli":
             term = bernoulli_term(x, mean, log_terms)
         else:
-            seen = f"if({x} = 0, {value}.zero, try_element_at({value}.shares, {x}))"
+            seen = f"{value}.zero" if x == "0D" else f"if({x} = 0, {value}.zero, shares[{i}])"
             term = probability_term(seen, log_terms)
         terms.append(f"coalesce({term}, 0D)")
     return terms
@@ -193,6 +188,11 @@ def log_posterior(
         features.join(ids.select(id_col), id_col, "left_semi").where(F.col("value").isNotNull()),
         model.params, "feature", id_col, row_bytes=64 + 48 * k, broadcast_limit=broadcast_limit,
     )
+    if model.shares is not None:
+        joined = lookup_join(
+            joined.withColumn("cell", F.struct("feature", "value")), model.shares, "cell", id_col,
+            row_bytes=96 + 16 * k, how="left", broadcast_limit=broadcast_limit,
+        )
     at_value = _terms("value", model.density, model.log_terms, k)
     at_zero = _terms("0D", model.density, model.log_terms, k)
     sums = joined.groupBy(id_col).agg(

@@ -1,13 +1,20 @@
+import atexit
+import shutil
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def build_session() -> SparkSession:
+    scratch = tempfile.mkdtemp(prefix="tagwright-tests-")
+    atexit.register(shutil.rmtree, scratch, ignore_errors=True)
     spark = (
         SparkSession.builder.master("local[8]")
         .appName("tagwright-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "12g")
+        .config("spark.checkpoint.dir", f"file://{scratch}")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
