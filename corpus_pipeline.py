@@ -20,11 +20,13 @@ from tagwright.sources.scratch import materialize
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """doc_id, text and the whole row as one column, so that no name can clash."""
-    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    """doc_id, text and the other columns as one, so that no name can clash."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select("doc_id", "text", F.struct(*others).alias("row"))
 
 
 def _unpacked(rows: DataFrame, columns: list[str], **changed) -> DataFrame:
+    changed["text"] = F.col("text")
     return rows.select(*[changed[c].alias(c) if c in changed else F.col("row")[c].alias(c) for c in columns])
 
 
@@ -33,14 +35,14 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     makes likelier than mixed letters go.  The text model is trained on the stage's own rows."""
     model = language.fit_text(docs)
     rows = _packed(docs)
-    found = language.identify(rows, model, rows["text"], rows["row.lang"], rows["row.source"], ["row"])
+    found = language.identify(rows, model, rows["text"], rows["row.lang"], rows["row.source"], ["row"], keep_text=True)
     return _unpacked(found.where("accepted"), docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that repeat an earlier line up to a word."""
     found = deduplicate_lines(_packed(docs), carry=("row",))
-    return _unpacked(found, docs.columns, text=F.col("text"), n_chars=F.length("text").cast(docs.schema["n_chars"].dataType))
+    return _unpacked(found, docs.columns, n_chars=F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,7 +56,7 @@ def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by benchmark items."""
-    found = benchmark_hits(_packed(docs), table(spark, sf_dir, "benchmark"), carry=("row",))
+    found = benchmark_hits(_packed(docs), table(spark, sf_dir, "benchmark"), carry=("row",), keep_text=True)
     return _unpacked(found.where(~contaminated(F.col("n_hit"), F.col("n_words"))), docs.columns)
 
 

@@ -209,10 +209,11 @@ def benchmark_hits(
     item_text: str = "text",
     block_windows: int = BLOCK_WINDOWS,
     carry: tuple[str, ...] = (),
+    keep_text: bool = False,
 ) -> DataFrame:
     """(id, n_words, n_hit, spans, items, carried columns) per document row: its words, those inside an
     occurrence of an item window, the hit word ranges as start, end, start, end ..., and the
-    ids of the items found, as strings in their order.
+    ids of the items found, as strings in their order; also the text, if it is kept.
 
     Null and empty texts have no words and no hits; an item without words has no window; a
     null item id counts as ''.  Repeated rows are judged one by one, equal windows of several
@@ -238,6 +239,7 @@ def benchmark_hits(
         if i + 1 < n_blocks:
             out = materialize(out, "hits")
     rest = [F.col("_carry")[c].alias(c) for c in carry]
+    rest += [F.col("_text").alias(text)] if keep_text else []
     return out.select(F.col("_id").alias(id_column), "n_words", "n_hit", "spans", "items", *rest)
 
 

@@ -27,7 +27,7 @@ from ..sources.scratch import materialize
 from .arrays import LOWER, SPACES, U64, shingles, signed, slice_hashes, utf8, words
 from .graph import components
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 RANGE_BYTES = 16 << 20
 
 

@@ -138,9 +138,11 @@ def _priors(votes: DataFrame, n: int) -> DataFrame:
 
 
 def identify(
-    rows: DataFrame, model: TextModel, text: Column, declared: Column, address: Column, keep: list[str], least: float = 0.5
-) -> DataFrame:
-    """The columns ``keep`` of each row with language, confidence and accepted.
+    rows: DataFrame, model: TextModel, text: Column, declared: Column, address: Column, keep: list[str], least: float = 0.5,
+    keep_text: bool = False,
+) -> DataFrame:
+    """The columns ``keep`` of each row with language, confidence and accepted, and the text as
+    a column text, if it is kept.
 
     ``text``, ``declared`` and ``address`` (a host name, or any name of a source) are columns of
     ``rows``; each may be null, and what is missing is no evidence.  The language is the one
@@ -154,8 +156,9 @@ def identify(
         packed.alias("_keep"), text.alias("_text"), F.lower(F.substring_index(declared, "-", 1)).alias("_declared"),
         F.coalesce(F.lower(address), F.lit("")).alias("_host"),
     )
+    body = [F.col("_text").alias("text")] if keep_text else []
     if not n:
-        none = source.select("_keep.*", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"))
+        none = source.select("_keep.*", *body, F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"))
         return none.withColumn("accepted", F.lit(False))
     scored = text_scores(source, model, "_text")
     best = F.array_position("_ll", F.array_max("_ll")) - 1
@@ -186,7 +189,7 @@ def identify(
     share = F.lit(1.0) / F.aggregate("_post", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("_top")))
     even = -math.log(1 << FEATURE_BITS)
     out = out.select(
-        "_keep.*", F.when(F.col("_n") > 0, names[at]).alias("language"),
+        "_keep.*", *body, F.when(F.col("_n") > 0, names[at]).alias("language"),
         F.when(F.col("_n") > 0, share).otherwise(F.lit(0.0)).alias("confidence"),
         F.coalesce((F.col("_n") > 0) & (share >= least) & (F.col("_ll")[at] > even), F.lit(False)).alias("accepted"),
     )

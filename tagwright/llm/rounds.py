@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .arrays import U64, mix
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 PART_BYTES = 8 << 20
 
 

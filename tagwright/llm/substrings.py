@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .arrays import U64, mix, ranges, slice_hashes, utf8
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 PART_BYTES = 8 << 20
 ASKED = "part long, chunk long, bucket binary, name binary, flags binary"
 TOLD = "part long, chunk long, step int, told binary"
