@@ -24,7 +24,6 @@ from ..sources.scratch import materialize
 from .arrays import blocks, utf8
 
 FEATURE_BITS = 15
-LEAST_SHARE = 1000  # a language needs one labelled text in so many, which bounds their number
 EVIDENCE = 200.0  # trigrams that a text counts for at most
 SMOOTHING = 20.0  # texts' worth of the wider level
 LETTERS = np.full(256, 0x20, dtype=np.uint32)
@@ -56,25 +55,25 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit_text(texts: DataFrame, text: str = "text", language: str = "lang") -> TextModel:
-    """Add-one estimates from all rows with a language.  Null and empty texts add nothing."""
+    """Add-one estimates from all rows with a language, however few it has.  Null and empty
+    texts add nothing.  The model has a row of 256 KB for each language."""
     rows = texts.select(texts[text].alias("_text"), texts[language].alias("_lang")).where("_lang is not null")
-    seen = rows.groupBy("_lang").count()
-    total = seen.agg(F.sum("count")).first()[0] or 0
-    kept = seen.where(F.col("count") * LEAST_SHARE >= total).select("_lang").collect()  # at most LEAST_SHARE
-    languages = tuple(sorted(r[0] for r in kept))
+    languages = tuple(sorted(r[0] for r in rows.select("_lang").distinct().collect()))
     place = {name: i for i, name in enumerate(languages)}
     size = 1 << FEATURE_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((len(languages), size), dtype=np.int64)
+        sums: dict[int, np.ndarray] = {}  # of the languages that the task meets
         for block in blocks(batches, "_text"):
             which = np.array([place.get(x, -1) for x in block.column("_lang").to_pylist()], dtype=np.int64)
             feature, offsets = features(block.column("_text"))
             of = np.repeat(which, np.diff(offsets))
-            for i in np.unique(which[which >= 0]):
-                sums[i] += np.bincount(feature[of == i], minlength=size)
-        i, j = np.nonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), pa.array(sums[i, j])], names=["i", "j", "n"])
+            for i in np.unique(which[which >= 0]).tolist():
+                found = np.bincount(feature[of == i], minlength=size)
+                sums[i] = sums[i] + found if i in sums else found
+        for i, found in sums.items():
+            (j,) = np.nonzero(found)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), i)), pa.array(j), pa.array(found[j])], names=["i", "j", "n"])
 
     counted = rows.mapInArrow(count, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).toPandas()
     sums = np.ones((len(languages), size))

@@ -107,3 +107,15 @@ def test_held_out_accuracy(spark):
     found = L.identify(held, model, held["text"], none, none, ["doc_id", "lang"])
     right, total = found.agg(F.sum((F.col("language") == F.col("lang")).cast("int")), F.count("*")).first()
     assert right >= 0.98 * total
+
+
+def test_rare_languages_have_a_model(spark):
+    """A language with less than a thousandth of the rows is found and accepted, declared or not."""
+    train = [(f"the house over there and {i} more with the others", "en") for i in range(2500)]
+    train += [("la casa della signora che abita nella grande piazza", "it"), ("它们在房子里面看见了很多人", "zh")]
+    model = L.fit_text(spark.createDataFrame(train, "text string, lang string"))
+    assert model.languages == ("en", "it", "zh")
+    rows = [(1, "la casa nella grande piazza", "it"), (2, "它们在房子里面", "zh"), (3, "它们在房子里面看见了", None), (4, "the house", "en")]
+    df = spark.createDataFrame(rows, "id long, text string, lang string")
+    got = L.identify(df, model, df["text"], df["lang"], F.lit(None).cast("string"), ["id"]).collect()
+    assert {r.id: (r.language, r.accepted) for r in got} == {1: ("it", True), 2: ("zh", True), 3: ("zh", True), 4: ("en", True)}
