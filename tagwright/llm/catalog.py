@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language
+from . import language, manifest
 from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
 from .lines import deduplicate_lines
@@ -221,3 +221,59 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages of 50 words or more that repeat, nearly or exactly, in any document."""
     return near_passages(table(spark, sf_dir, "documents"))
+
+
+def _level(table: str, k: int) -> str:
+    return f"""{table}{k + 1} AS (
+  SELECT tree, idx // 8 AS idx, (n + 7) // 8 AS n,
+    CASE WHEN n = 1 THEN any_value(hash) ELSE sha256(string_agg(hash, '' ORDER BY idx)) END AS hash
+  FROM {table}{k} GROUP BY tree, idx // 8, n)"""
+
+
+def _step(table: str, climb: str, k: int) -> str:
+    return f"""{climb}{k + 1} AS (
+  SELECT c.uid, c.tree, c.lang_no, c.idx // 8 AS idx,
+    CASE WHEN any_value(t.n) = 1 THEN c.folded ELSE
+      sha256(string_agg(CASE WHEN t.idx = c.idx THEN c.folded ELSE t.hash END, '' ORDER BY t.idx)) END AS folded,
+    c.proof || coalesce(string_agg(t.hash, '' ORDER BY t.idx) FILTER (t.idx <> c.idx), '') AS proof
+  FROM {climb}{k} c JOIN {table}{k} t ON c.tree = t.tree AND c.idx // 8 = t.idx // 8
+  GROUP BY c.uid, c.tree, c.lang_no, c.idx, c.folded, c.proof)"""
+
+
+def manifest_sql(levels: int = 8, top_levels: int = 4) -> str:
+    """Up to 8 ** levels rows of a language and 8 ** top_levels languages."""
+    h = lambda text: "sha256(" + " || ".join(
+        f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)
+    ) + ")"
+    bit = "CASE WHEN i % 8 = 0 THEN xor(c, ascii(substr(doc_id::VARCHAR, i // 8 + 1, 1))::BIGINT) ELSE c END"
+    crc = f"""xor(list_reduce(range(0, 8 * strlen(doc_id::VARCHAR)),
+      lambda c, i: xor(({bit}) >> 1, 3988292384 * (({bit}) & 1)), 4294967295::BIGINT), 4294967295)"""
+    parts = [
+        f"""d AS (SELECT *, CASE WHEN {crc} % 3 = 0 THEN translate(text, '{UPPER}', '{LOWER_LETTERS}') ELSE text END AS t FROM documents)""",
+        f"leaf AS (SELECT row_number() OVER () AS uid, doc_id, lang, {h('text')} AS leaf, {h('t')} AS changed FROM d)",
+        """pos AS (SELECT uid, doc_id, leaf, changed, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, changed) - 1 AS idx,
+    count(*) OVER (PARTITION BY lang) AS n FROM leaf)""",
+        "a0 AS (SELECT tree, idx, n, leaf AS hash FROM pos)",
+        *[_level("a", k) for k in range(levels)],
+        f"b0 AS (SELECT 0 AS tree, tree AS idx, count(*) OVER () AS n, hash FROM a{levels})",
+        *[_level("b", k) for k in range(top_levels)],
+        "c0 AS (SELECT uid, tree, tree AS lang_no, idx, changed AS folded, '' AS proof FROM pos)",
+        *[_step("a", "c", k) for k in range(levels)],
+        f"e0 AS (SELECT uid, 0 AS tree, lang_no, lang_no AS idx, folded, proof FROM c{levels})",
+        *[_step("b", "e", k) for k in range(top_levels)],
+    ]
+    return "WITH " + ", ".join(parts) + f"""
+SELECT doc_id, leaf, a{levels}.hash AS subroot, b{top_levels}.hash AS root, sha256(proof) AS proof_sha256,
+  folded AS folded_root, folded = b{top_levels}.hash AS verified
+FROM pos JOIN e{top_levels} e ON pos.uid = e.uid JOIN a{levels} ON a{levels}.tree = pos.tree CROSS JOIN b{top_levels}"""
+
+
+OP12_SQL = manifest_sql()
+
+
+@query("op12_merkle_manifest", OP12_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document audited against the manifest, a third of them with changed letters."""
+    docs = table(spark, sf_dir, "documents")
+    return manifest.audit(manifest.build_manifest(docs, manifest.lower_text(docs)))
