@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import language, manifest
 from .contamination import benchmark_hits, contaminated
 from .jaccard import similar_groups
+from .licenses import BASE, NOTICES, SHARE, SLACK, Template, key_bits, scan_licenses
 from .lines import deduplicate_lines
 from .passages import near_passages
 from .pieces import encode_documents
@@ -277,3 +278,44 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document audited against the manifest, a third of them with changed letters."""
     docs = table(spark, sf_dir, "documents")
     return manifest.audit(manifest.build_manifest(docs, manifest.lower_text(docs)))
+
+
+def licenses_sql(templates: tuple[Template, ...] = BASE + NOTICES) -> str:
+    values = ", ".join(f"({i}, '{x.label}', {x.base}, {key_bits(x)}, '{x.text}')" for i, x in enumerate(templates))
+    word = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+    return rf"""WITH tw AS (SELECT t, label, base, needed, string_split(txt, ' ') AS w FROM (VALUES {values}) v(t, label, base, needed, txt)),
+tg AS (
+  SELECT t, label, base, needed, len(w) - 2 AS n, p, array_to_string(w[p + 1:p + 3], ' ') AS g
+  FROM (SELECT *, unnest(range(0, len(w) - 2)) AS p FROM tw)),
+dw AS (
+  SELECT row_number() OVER () AS uid, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER_LETTERS}'), {word}) AS w FROM documents),
+dg AS (
+  SELECT uid, p, array_to_string(w[p + 1:p + 3], ' ') AS g FROM (SELECT uid, w, unnest(range(0, len(w) - 2)) AS p FROM dw)),
+hit AS (SELECT uid, t, label, base, needed, n, dg.p - tg.p AS diagonal, tg.p AS place FROM dg JOIN tg ON dg.g = tg.g),
+banded AS (
+  SELECT *, CASE WHEN base THEN diagonal ELSE floor(diagonal / {SLACK}) - shift END AS band
+  FROM hit, (VALUES (0), (1)) s(shift) WHERE shift = 0 OR NOT base),
+span AS (
+  SELECT uid, label, base, band, count(DISTINCT place) / any_value(n) AS share,
+    bit_or(1::BIGINT << place) & any_value(needed) = any_value(needed) AS whole
+  FROM banded GROUP BY uid, t, label, base, band),
+found AS (
+  SELECT uid, label, share, base AND share = 1 AS place, (base AND share = 1) OR (NOT base AND share >= {SHARE} AND whole) AS ok, band FROM span),
+each AS (
+  SELECT uid, count(*) FILTER (place) AS n_base, min(band) FILTER (place) AS first_word, max(band) FILTER (place) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (place) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (ok) AS labels, max(share) AS score
+  FROM found GROUP BY uid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0) AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score
+FROM dw LEFT JOIN each ON dw.uid = each.uid"""
+
+
+OP13_SQL = licenses_sql()
+
+
+@query("op13_license_scan", OP13_SQL)
+def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence statements of every document."""
+    return scan_licenses(table(spark, sf_dir, "documents"))
