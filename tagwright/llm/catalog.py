@@ -17,6 +17,7 @@ from .quality import score_documents
 from .substrings import remove_repeats
 from .surrogates import replace_entities
 from .vectors import cosine_links
+from .whitening import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -319,3 +320,9 @@ OP13_SQL = licenses_sql()
 def op13_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence statements of every document."""
     return scan_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the sixteen leading whitened components of the distinct vectors."""
+    return whiten(table(spark, sf_dir, "embeddings"))
