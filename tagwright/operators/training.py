@@ -52,14 +52,15 @@ class MarginParams:
 
 @dataclass(frozen=True)
 class Spec:
-    """One model to fit: its class (None: labels are already 0/1), penalty, kernel width and
-    the fold it must not see."""
+    """One model to fit: its class (None: labels are already 0/1), penalty, kernel width, the
+    fold it must not see, or the only one it may see."""
 
     model_id: str
     C: float
     gamma: float
     positive: int | None = None
     held_out: int | None = None
+    only: int | None = None
 
 
 MODEL_SCHEMA = (
@@ -177,6 +178,8 @@ def _gradient_pass(
                         use[:, j] = np.where(positive, label_weights.get(1, 1.0), label_weights.get(0, 1.0))
                     if specs[i].held_out is not None:
                         use[fold == specs[i].held_out, j] = 0.0
+                    if specs[i].only is not None:
+                        use[fold != specs[i].only, j] = 0.0
                 terms, slope = _rounded_hinge(values * y, smooth)
                 loss[members] += (terms * use).sum(axis=0)
                 grad[members] -= (slope * y * use).T @ z

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import bayes, training as tr
 from ..operators.evaluate import learner_metrics
 from ..operators.pool import balance, move_random
-from ..operators.queries import apply_labels, exclude_labeled, random_query, uncertainty_query
+from ..operators.queries import apply_labels, diversity_query, exclude_labeled, random_query, uncertainty_query
 from ..sources.learners import load_learner, prepend_saved, save_learner
 from ..sources.scratch import materialize
 from ..sources.tables import vector_features
@@ -116,6 +116,16 @@ def query_random(state: LearnerState, k: int) -> DataFrame:
     return random_query(state.pool, k, state.config.seed + state.round)
 
 
+def query_diverse(state: LearnerState, k: int, prefer: str = "similar") -> DataFrame:
+    """The greedy choice by summed kernel cosine to the labeled rows, with the learner's kernel; like
+    the other strategies it names k rows, a random one first."""
+    params = tr.resolve(state.config.params, state.model.n_features if state.model else 1)
+    return diversity_query(
+        pool_vectors(state), labeled_vectors(state), k, params.kernel, params.gamma, prefer=prefer,
+        seed=state.config.seed + state.round,
+    )
+
+
 def active_learn(
     state: LearnerState, labels: DataFrame, n: int, query: Query = query_uncertain, batch: int = 10,
     rebuild_each: bool = True, balance_first: bool = False, build_last: bool = True,
