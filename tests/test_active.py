@@ -92,6 +92,25 @@ def test_diversity_equals_brute_force(rows, prefer, steps_per_table, monkeypatch
     assert [r["id"] for r in got] == picks
 
 
+@pytest.mark.parametrize("prefer", ["similar", "dissimilar"])
+def test_diversity_with_few_leaders(rows, prefer, monkeypatch):
+    """Fifty picks with eight rows at hand: bounds decide when the pool is read again."""
+    vectors = rows.select("id", "vec")
+    want = qs.diversity_query(vectors, vectors.limit(0), 50, "rbf", 0.3, prefer=prefer).orderBy("step").collect()
+    passes, lead = [], qs._current_leaders
+    monkeypatch.setattr(qs, "LEADERS", 8)
+    monkeypatch.setattr(qs, "_current_leaders", lambda *a: passes.append(1) or lead(*a))
+    got = qs.diversity_query(vectors, vectors.limit(0), 50, "rbf", 0.3, prefer=prefer).orderBy("step").collect()
+    assert got == want and 1 <= len(passes) <= 49
+
+
+def test_diversity_as_a_strategy(rows):
+    state = active.seed_training(first_state(rows), 12)
+    labels = rows.select("id", F.col("classLabel").alias("label"))
+    state = active.active_learn(state, labels, 5, active.query_diverse, 5, rebuild_each=False)
+    assert len(ids(state.labeled)) == 17 and state.metrics
+
+
 def test_diversity_without_anything_labeled(rows):
     vectors = rows.select("id", "vec").where("id < 20")
     got = qs.diversity_query(vectors, vectors.limit(0), 3, start_random=False).collect()
