@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.kernels import default_gamma
-from ..operators import evaluate as ev, margin as mg, queries as qs, training as tr
+from ..operators import calibration as cal, evaluate as ev, margin as mg, queries as qs, training as tr
 from ..plans import active, multiclass
 from ..sources.scratch import materialize
 from ..sources.tables import vector_features
@@ -441,6 +441,32 @@ def platt_probabilities(spark, sf_dir):
     return tr.probabilities(scores, calibration)
 
 
+PROBABILITY_MEANS = f"""WITH {BINARY}, s AS (SELECT model_id, count(*) FILTER (classLabel = 1) AS p, count(*) FILTER (classLabel = 0) AS q
+    FROM pb GROUP BY model_id)
+  SELECT model_id::VARCHAR AS model_id, p + q AS n_rows, round((p * (p + 1.0) / (p + 2.0) + q / (q + 2.0)) / (p + q), 6) AS mean_target,
+    true AS mean_agrees, true AS order_kept FROM s"""
+
+
+@query("probability_means", PROBABILITY_MEANS)
+def probability_means(spark, sf_dir):
+    """Sigmoids of all class learners fitted together: the mean probability of each is the mean of its
+    targets, and a greater decision never has a smaller probability."""
+    predicted, _ = _binary_predictions(spark, sf_dir)
+    rows = materialize(predicted.select("model_id", "decision", F.col("classLabel").alias("y")), "judged")
+    found = cal.model_probabilities(rows, materialize(cal.calibrate_all(rows), "sigmoids"))
+    n1, n0 = F.count_if(F.col("y") > 0), F.count_if(F.col("y") == 0)
+    target = (n1 * (n1 + 1.0) / (n1 + 2.0) + n0 / (n0 + 2.0)) / (n1 + n0)
+    means = found.groupBy("model_id").agg(
+        F.count(F.lit(1)).alias("n_rows"), target.alias("mean_target"), F.avg("p_1").alias("mean"),
+        F.corr("decision", F.log(F.col("p_1") / F.col("p_0"))).alias("slope"),
+    )
+    agrees = F.abs(F.col("mean") - F.col("mean_target")) < 1e-7
+    return means.select(
+        F.col("model_id").cast("string").alias("model_id"), "n_rows", rounded("mean_target").alias("mean_target"),
+        agrees.alias("mean_agrees"), (F.col("slope") > 0.999).alias("order_kept"),
+    )
+
+
 @query("active_loop")
 def active_loop(spark, sf_dir):
     """Two rounds of ten uncertain rows, labels taken from the table, with a balanced grid search

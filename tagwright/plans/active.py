@@ -12,6 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import bayes, training as tr
+from ..operators.calibration import calibrate_all, model_probabilities
 from ..operators.evaluate import learner_metrics
 from ..operators.pool import balance, move_random
 from ..operators.queries import apply_labels, diversity_query, exclude_labeled, random_query, uncertainty_query
@@ -25,12 +26,14 @@ Query = Callable[["LearnerState", int], DataFrame]
 @dataclass(frozen=True)
 class LearnerConfig:
     """``naive_bayes`` evaluates with Gaussian naive Bayes; queries use the margin model
-    either way.  ``grid`` is the keyword arguments of the grid search, None to skip it."""
+    either way.  ``probability`` evaluates with probabilities, calibrated on held-out decisions of
+    the labeled rows.  ``grid`` is the keyword arguments of the grid search, None to skip it."""
 
     class_name: str = "Class"
     params: tr.MarginParams = tr.MarginParams()
     grid: dict | None = None
     naive_bayes: bool = False
+    probability: bool = False
     allowed: tuple[int, ...] = (0, 1)
     seed: int = 7
 
@@ -38,7 +41,8 @@ class LearnerConfig:
 @dataclass(frozen=True)
 class LearnerState:
     """``vectors`` is ``(id, vec)`` for every row; ``pool`` and ``labeled`` are
-    ``(id, classLabel)``; ``test`` holds the true labels."""
+    ``(id, classLabel)``; ``test`` holds the true labels.  ``scores`` are those of the test rows at the
+    last evaluation: ``(id, score_0, score_1, pred)``."""
 
     config: LearnerConfig
     vectors: DataFrame
@@ -48,6 +52,8 @@ class LearnerState:
     model: tr.MarginModel | None = None
     metrics: dict | None = None
     round: int = 0
+    calibration: DataFrame | None = None
+    scores: DataFrame | None = None
 
 
 def labeled_vectors(state: LearnerState) -> DataFrame:
@@ -58,24 +64,49 @@ def pool_vectors(state: LearnerState) -> DataFrame:
     return state.vectors.join(state.pool.select("id"), "id", "left_semi")
 
 
-def evaluate(state: LearnerState, labeled: DataFrame | None = None) -> dict:
-    """Metrics over the test rows; empty without test labels."""
-    if state.test is None:
-        return {}
-    truth = state.test.select("id", "classLabel")
-    rows = state.vectors.join(truth.select("id"), "id", "left_semi")
+def score_rows(state: LearnerState, rows: DataFrame) -> DataFrame:
+    """``(id, score_0, score_1, pred)`` of ``rows`` ``(id, vec)``: log posteriors of naive Bayes, calibrated
+    probabilities, or minus and plus the decision value, as the learner is configured."""
     if state.config.naive_bayes:
         known = state.labeled.select("id", "classLabel")
-        features = vector_features(labeled_vectors(state), "id", "vec")
-        model = bayes.fit_bayes(features, known)
-        scored = bayes.log_posterior(vector_features(rows, "id", "vec"), truth, model)
-        predicted = bayes.predict(scored, model.classes)
-    else:
-        predicted = tr.margin_decisions(rows, state.model).select(
-            "id", F.when(F.col("decision") > 0, 1).otherwise(0).alias("pred")
+        model = bayes.fit_bayes(vector_features(labeled_vectors(state), "id", "vec"), known)
+        found = bayes.log_posterior(vector_features(rows, "id", "vec"), rows.select("id"), model)
+        at = {c: i for i, c in enumerate(model.classes)}
+        of = lambda c: F.col("posterior")[at[c]] if c in at else F.lit(float("-inf"))
+        best = F.element_at(
+            F.array(*[F.lit(c) for c in model.classes]), F.array_position("posterior", F.array_max("posterior")).cast("int")
         )
-    row = learner_metrics(truth.join(predicted, "id"), labeled).first()
-    return row.asDict() if row else {}
+        return found.select("id", of(0).alias("score_0"), of(1).alias("score_1"), best.alias("pred"))
+    decisions = tr.margin_decisions(rows, state.model)
+    pred = F.when(F.col("decision") > 0, 1).otherwise(0)
+    if not state.config.probability:
+        return decisions.select("id", (-F.col("decision")).alias("score_0"), F.col("decision").alias("score_1"), pred.alias("pred"))
+    if state.calibration is None:
+        raise TypeError("the model does not support probability estimates")
+    found = model_probabilities(decisions, state.calibration)
+    likely = F.when(F.col("p_1") > F.col("p_0"), 1).otherwise(0)
+    return found.select("id", F.col("p_0").alias("score_0"), F.col("p_1").alias("score_1"), likely.alias("pred"))
+
+
+def evaluate(state: LearnerState, labeled: DataFrame | None = None) -> tuple[dict, DataFrame | None]:
+    """(metrics over the test rows, their scores); empty without test labels."""
+    if state.test is None:
+        return {}, None
+    truth = state.test.select("id", "classLabel")
+    rows = state.vectors.join(truth.select("id"), "id", "left_semi")
+    scores = materialize(score_rows(state, rows), "scores")
+    row = learner_metrics(truth.join(scores.select("id", "pred"), "id"), labeled).first()
+    return (row.asDict() if row else {}), scores
+
+
+def calibrated(state: LearnerState, known: DataFrame, params: tr.MarginParams, folds: int = 5) -> DataFrame | None:
+    """The sigmoid of the learner, from decisions on rows that their models have not seen."""
+    if not state.config.probability:
+        return None
+    n_features = state.vectors.select(F.max(F.size("vec"))).first()[0] or 1
+    gamma = tr.resolve(params, n_features).gamma
+    held_out = tr.cv_decisions(state.vectors, known, [(params.C, gamma)], folds, params)
+    return calibrate_all(held_out.select(F.lit("model").alias("model_id"), "decision", F.col("label").alias("y")))
 
 
 def rebuild(state: LearnerState, balance_first: bool = False) -> LearnerState:
@@ -88,8 +119,11 @@ def rebuild(state: LearnerState, balance_first: bool = False) -> LearnerState:
     if config.grid is not None:
         params = tr.grid_search(state.vectors, known, params=params, **config.grid)
     model = tr.fit_margin(state.vectors, known, params)
-    fitted = replace(state, model=model, config=replace(config, params=params))
-    return replace(fitted, metrics=evaluate(fitted))
+    fitted = replace(
+        state, model=model, config=replace(config, params=params), calibration=calibrated(state, known, params)
+    )
+    metrics, scores = evaluate(fitted)
+    return replace(fitted, metrics=metrics, scores=scores)
 
 
 def seed_training(state: LearnerState, k: int, build: bool = True) -> LearnerState:

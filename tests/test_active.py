@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright.operators import queries as qs, training as tr
-from tagwright.plans import active
+from tagwright.plans import active, multiclass
 from tagwright.sources.scratch import materialize, scratch_root
 
 PARAMS = tr.MarginParams(n_components=64, tolerance=1e-2)
@@ -62,7 +62,39 @@ def test_random_strategy_and_single_rebuild(rows):
 
 
 def test_no_test_labels_no_metrics(rows):
-    assert active.evaluate(replace(first_state(rows), test=None)) == {}
+    assert active.evaluate(replace(first_state(rows), test=None)) == ({}, None)
+
+
+@pytest.mark.parametrize("mode", ["naive_bayes", "probability", "margin"])
+def test_scores_are_kept(rows, mode):
+    state = active.seed_training(first_state(rows, **({mode: True} if mode != "margin" else {})), 40)
+    got = state.scores.collect()
+    assert state.scores.columns == ["id", "score_0", "score_1", "pred"] and len(got) == 30
+    right = 0
+    truth = {r["id"]: r["classLabel"] for r in rows.collect()}
+    for r in got:
+        assert r["pred"] == int(r["score_1"] > r["score_0"])
+        right += r["pred"] == truth[r["id"]]
+        if mode == "probability":
+            assert r["score_0"] + r["score_1"] == pytest.approx(1)
+        if mode == "margin":
+            assert r["score_0"] == -r["score_1"]
+    assert state.metrics["tp"] + state.metrics["tn"] == right > 24
+
+
+def test_final_predictions_of_mixed_learners(rows):
+    """One learner of each kind; the class with the largest score wins, labeled rows are left out."""
+    states = {}
+    for c, config in ((0, {"naive_bayes": True}), (1, {"probability": True}), (2, {})):
+        own = rows.select("id", "vec", (F.col("classLabel") == c % 2).cast("int").alias("classLabel"))
+        states[c] = active.seed_training(first_state(own, **config), 40)
+    pool = rows.where("id >= 60").select("id", "vec", F.concat(F.lit("row "), "id").alias("origText"))
+    found = multiclass.predict_with_learners(states, pool.select("id", "vec"), pool.select("id", "origText"), {0: "a", 1: "b", 2: "c"})
+    taken = set().union(*(ids(s.labeled) for s in states.values()))
+    got = {r["id"]: r["pred"] for r in found.collect()}
+    assert set(got) == {i for i in range(60, 120) if i not in taken}
+    scores = {c: {r["id"]: r["score_1"] for r in active.score_rows(s, pool.select("id", "vec")).collect()} for c, s in states.items()}
+    assert all(p == max(scores, key=lambda c: (scores[c][i], -c)) for i, p in got.items())
 
 
 def test_uncertainty_and_random_queries(spark):
