@@ -5,7 +5,9 @@ Every helper works on a bounded block of rows inside one task; Spark partitions
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import inspect
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,41 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 0x20
 
 
+def release() -> None:
+    """Give memory that is free inside the worker back to the system; workers outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def frees(fn: Callable) -> Callable:
+    """``fn``, a function of batches, a group or two groups, followed by ``release``."""
+    if inspect.isgeneratorfunction(fn):
+
+        def of_batches(batches):
+            try:
+                yield from fn(batches)
+            finally:
+                release()
+
+        return of_batches
+
+    def of_group(table):
+        try:
+            return fn(table)
+        finally:
+            release()
+
+    def of_groups(left, right):
+        try:
+            return fn(left, right)
+        finally:
+            release()
+
+    return of_group if len(inspect.signature(fn).parameters) == 1 else of_groups
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A well spread 64-bit value of each 64-bit value (one-to-one)."""
     x = x.astype(U64, copy=True)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.scratch import materialize
-from .arrays import LOWER, NOT_ALPHANUMERIC, U64, blocks, fold, ranges, signed, slice_hashes, utf8, words
+from .arrays import LOWER, NOT_ALPHANUMERIC, U64, blocks, fold, frees, ranges, signed, slice_hashes, utf8, words
 
 SHINGLE = 5
 BLOCK_WINDOWS = 100_000  # about 25 MB as arrays
@@ -52,7 +52,7 @@ def item_windows(items: DataFrame, item_id: str, text: str, size: int) -> DataFr
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.list_(pa.int64())), pa.array(ids, pa.string())], names=["words", "item"])
 
     source = items.select(F.coalesce(items[item_id].cast("string"), F.lit("")).alias("_id"), items[text].alias("_text"))
-    found = source.mapInArrow(run, "words array<long>, item string")
+    found = source.mapInArrow(frees(run), "words array<long>, item string")
     return found.groupBy("words").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
@@ -101,7 +101,7 @@ def _counts(docs: DataFrame, keys: np.ndarray, sizes: list[int]) -> dict[int, in
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["key", "n"])
 
-    counted = docs.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = docs.mapInArrow(frees(run), "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
     found = {r.key: r.n for r in counted.collect()}  # at most the tokens of one block
     shared.unpersist()
     return found
@@ -196,7 +196,7 @@ def _scan(docs: DataFrame, index: dict) -> DataFrame:
                 names=schema.names,
             )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(frees(run), schema)
 
 
 def benchmark_hits(

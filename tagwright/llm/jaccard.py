@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.lookup import fits_broadcast
 from ..sources.scratch import materialize
-from .arrays import LOWER, SPACES, U64, shingles, signed, slice_hashes, utf8, words
+from .arrays import LOWER, SPACES, U64, frees, shingles, signed, slice_hashes, utf8, words
 from .graph import components
 
 CHUNK_BYTES = 2 << 20
@@ -92,8 +92,8 @@ def _rarity(docs: DataFrame, k: int, bits: int) -> DataFrame:
             }
         )
 
-    sent = docs.groupBy("chunk").applyInArrow(send, "part long, chunk long, low binary, n binary")
-    return sent.groupBy("part").applyInArrow(rate, "part long, chunk long, levels binary")
+    sent = docs.groupBy("chunk").applyInArrow(frees(send), "part long, chunk long, low binary, n binary")
+    return sent.groupBy("part").applyInArrow(frees(rate), "part long, chunk long, levels binary")
 
 
 def _prefixes(docs: DataFrame, levels: DataFrame, k: int, bits: int, share: int, id_type: str) -> DataFrame:
@@ -140,7 +140,7 @@ def _prefixes(docs: DataFrame, levels: DataFrame, k: int, bits: int, share: int,
 
     return (
         docs.groupBy("chunk").cogroup(levels.groupBy("chunk"))
-        .applyInArrow(run, f"id {id_type}, n long, f1 long, f2 long, first int, tokens array<long>, members binary")
+        .applyInArrow(frees(run), f"id {id_type}, n long, f1 long, f2 long, first int, tokens array<long>, members binary")
     )
 
 
@@ -160,7 +160,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
 
     one = pairs.join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
     two = one.join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b")
-    return two.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return two.select("a", "b", "x", "y").mapInArrow(frees(run), "a long, b long")
 
 
 def _possible(share: int):

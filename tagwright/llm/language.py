@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..operators.lookup import lookup_join
 from ..sources.scratch import materialize
-from .arrays import blocks, utf8
+from .arrays import blocks, frees, utf8
 
 FEATURE_BITS = 15
 EVIDENCE = 200.0  # trigrams that a text counts for at most
@@ -75,7 +75,7 @@ def fit_text(texts: DataFrame, text: str = "text", language: str = "lang") -> Te
             (j,) = np.nonzero(found)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(j), i)), pa.array(j), pa.array(found[j])], names=["i", "j", "n"])
 
-    counted = rows.mapInArrow(count, "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).toPandas()
+    counted = rows.mapInArrow(frees(count), "i long, j long, n long").groupBy("i", "j").agg(F.sum("n").alias("n")).toPandas()
     sums = np.ones((len(languages), size))
     sums[counted["i"].to_numpy(np.int64), counted["j"].to_numpy(np.int64)] += counted["n"].to_numpy(np.float64)
     return TextModel(languages, np.log(sums / sums.sum(axis=1, keepdims=True)))
@@ -100,7 +100,7 @@ def text_scores(rows: DataFrame, model: TextModel, text: str) -> DataFrame:
             scores = pa.array([m.tolist() if k else None for m, k in zip(mean, n, strict=True)], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*block.columns, pa.array(n), scores], names=schema.names)
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(frees(run), schema)
 
 
 def _log(values: Column) -> Column:

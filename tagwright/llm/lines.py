@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .arrays import SPACES, U64, mix, powers, ranges, slice_hashes, utf8, words
+from .arrays import SPACES, U64, frees, mix, powers, ranges, slice_hashes, utf8, words
 from .rounds import ask, column, part_of, replied, reply, sizes, text_of
 
 MIN_WORDS = 5
@@ -234,9 +234,9 @@ def deduplicate_lines(
             }
         )
 
-    half = dealt.groupBy("chunk").applyInArrow(ask_halves, HALF_ASKED).groupBy("part").applyInArrow(tell_halves, HALF_TOLD)
-    keys = dealt.groupBy("chunk").cogroup(half.groupBy("chunk")).applyInArrow(ask_keys, KEY_ASKED)
-    told = keys.groupBy("part").applyInArrow(tell_keys, KEY_TOLD)
+    half = dealt.groupBy("chunk").applyInArrow(frees(ask_halves), HALF_ASKED).groupBy("part").applyInArrow(frees(tell_halves), HALF_TOLD)
+    keys = dealt.groupBy("chunk").cogroup(half.groupBy("chunk")).applyInArrow(frees(ask_keys), KEY_ASKED)
+    told = keys.groupBy("part").applyInArrow(frees(tell_keys), KEY_TOLD)
     both = half.withColumn("round", F.lit(0)).unionByName(told.withColumn("round", F.lit(1)), allowMissingColumns=True)
     schema = T.StructType(
         [
@@ -244,6 +244,6 @@ def deduplicate_lines(
             T.StructField("removed", T.ArrayType(T.IntegerType())), T.StructField("carry", dealt.schema["_carry"].dataType),
         ]
     )
-    out = dealt.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(finish, schema)
+    out = dealt.groupBy("chunk").cogroup(both.groupBy("chunk")).applyInArrow(frees(finish), schema)
     rest = [F.col("carry")[c].alias(c) for c in carry]
     return out.select(F.col("id").alias(id_column), F.col("text").alias(text), "n_lines", "removed", *rest)

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .arrays import blocks, ranges, text_column
+from .arrays import blocks, frees, ranges, text_column
 
 MARK = "▁"
 KEPT_WORDS = 200_000
@@ -203,4 +203,4 @@ def encode_documents(docs: DataFrame, model_path: str, id_column: str = "doc_id"
             )
 
     source = docs.select(docs[id_column].alias("_id"), docs[text].alias("_text"))
-    return source.mapInArrow(run, f"`{id_column}` {kind}, n_tokens long, ids binary, decoded string")
+    return source.mapInArrow(frees(run), f"`{id_column}` {kind}, n_tokens long, ids binary, decoded string")
