@@ -7,16 +7,13 @@ input files are split.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as tx
-from ..functions.density import literal_array
 from ..sources.scratch import materialize
-from .lookup import BROADCAST_BYTES, HOT_MIN_ROWS, key_frequency, lookup_join, spread_join
+from .lookup import BROADCAST_BYTES, HOT_MIN_ROWS, fits_broadcast, key_frequency, lookup_join, spread_join
 
 # Word lists up to this size become a literal hash set; larger ones are joined.
 LITERAL_WORDS = 10_000
@@ -217,32 +214,34 @@ def spanning_ngrams(tokens: DataFrame, n: int, id_col: str = "doc_id") -> DataFr
     return across.select(F.array_join(F.transform("parts", lambda s: s["token"]), " ").alias("term"))
 
 
-ROWS_PER_RANGE = 500_000
+RANGES_PER_BLOCK = 1_024
 
 
 def stream_offsets(rows: DataFrame, size_col: str, id_col: str) -> DataFrame:
-    """Add ``offset``: the sum of ``size_col`` over all rows with a smaller id.
-
-    Ids are cut into ranges at approximate quantiles; running sums are taken inside a range
-    and the totals of the earlier ranges are added.  The cut points are literals, so every
-    run of the plan places a row in the same range."""
-    n_ranges = max(rows.count() // ROWS_PER_RANGE, 8)
-    shares = F.expr(literal_array(i / n_ranges for i in range(1, n_ranges)))
-    cuts = rows.select(F.percentile_approx(id_col, shares, F.lit(10 * n_ranges)).alias("c")).first()
-    cuts = sorted({float(c) for c in cuts["c"] or [0]})
-    bucketizer = Bucketizer(
-        splits=[-math.inf, *cuts, math.inf], inputCol="_position", outputCol="_range"
-    )
-    ranged = bucketizer.transform(rows.withColumn("_position", F.col(id_col).cast("double")))
-    ranged = ranged.drop("_position").withColumn("_range", F.col("_range").cast("int"))
-    totals = {r[0]: r[1] for r in ranged.groupBy("_range").agg(F.sum(size_col)).collect()}
-    before = [0]
-    for i in range(len(cuts)):
-        before.append(before[-1] + totals.get(i, 0))
-    inside = Window.partitionBy("_range").orderBy(id_col).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = F.get(F.expr(literal_array(before)), F.col("_range"))
-    offset = F.coalesce(F.sum(size_col).over(inside), F.lit(0)) + earlier
-    return ranged.withColumn("offset", offset.cast("long")).drop("_range")
+    """Add ``offset``: the sum of ``size_col`` over all rows with a smaller id, rows of one id in any
+    fixed order.
+
+    Rows are stored sorted by range.  Sums run inside a range, over the totals of the ranges of a
+    block, and over the totals of blocks; every level is a table."""
+    sorted_rows = rows.repartitionByRange(id_col).sortWithinPartitions(id_col)
+    stored = sorted_rows.withColumn("_seq", F.monotonically_increasing_id()).withColumn("_range", F.shiftright("_seq", 33))
+    stored = materialize(stored, "stream")
+
+    def before(value: str, within: list[str], order: str) -> Column:
+        window = Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(value).over(window), F.lit(0))
+
+    ranges = stored.groupBy("_range").agg(F.sum(size_col).alias("_total"))
+    ranges = ranges.withColumn("_block", F.expr(f"_range div {RANGES_PER_BLOCK}"))
+    ranges = ranges.withColumn("_earlier", before("_total", ["_block"], "_range"))
+    blocks = ranges.groupBy("_block").agg(F.sum("_total").alias("_sum"))  # a row for each thousand ranges
+    blocks = blocks.select("_block", before("_sum", [], "_block").alias("_base"))
+    starts = ranges.join(blocks, "_block").select("_range", (F.col("_earlier") + F.col("_base")).alias("_start"))
+    starts = materialize(starts, "stream-starts")
+    placed = stored.withColumn("_inside", before(size_col, ["_range"], "_seq"))
+    side = F.broadcast(starts) if fits_broadcast(starts.count(), 24) else starts
+    offset = (F.col("_inside") + F.col("_start")).cast("long")
+    return placed.join(side, "_range").withColumn("offset", offset).drop("_seq", "_range", "_inside", "_start")
 
 
 def dictionary_share(

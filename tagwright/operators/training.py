@@ -31,6 +31,7 @@ from .sampling import hash_rank
 
 HISTORY = 8
 BATCH_ROWS = 4_096
+LEAST_ROWS = 128
 DRIVER_BYTES = 16 << 20
 
 
@@ -308,9 +309,9 @@ def fit_specs(
     )
     if start is not None:
         model = replace(model, weights=start.weights.copy())
-    # enough partitions for the cores, few enough that partial gradients stay cheap
+    # tasks of bounded size, and work for every core while there are few rows
     cores = train.sparkSession.sparkContext.defaultParallelism
-    parts = max(min(-(-stats["n"] // BATCH_ROWS), 4 * cores), 1)
+    parts = max(-(-stats["n"] // BATCH_ROWS), min(cores, -(-stats["n"] // LEAST_ROWS)), 1)
     rows = train.repartition(parts, "id").persist()
     penalty = np.array([s.C for s in specs])
     descent = _Descent(model.weights, params.tolerance)

@@ -123,7 +123,7 @@ def test_vocabulary_across_documents(spark):
 
 
 def test_stream_offsets_over_many_ranges(spark, monkeypatch):
-    monkeypatch.setattr(tx, "ROWS_PER_RANGE", 10)
+    monkeypatch.setattr(tx, "RANGES_PER_BLOCK", 2)
     rows = spark.range(0, 300, 3).select("id", (F.col("id") % 7).alias("size")).repartition(5)
     got = tx.stream_offsets(rows, "size", "id").orderBy("id").collect()
     running = 0
