@@ -7,8 +7,11 @@ input files are split.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import text as tx
@@ -17,6 +20,8 @@ from .lookup import BROADCAST_BYTES, HOT_MIN_ROWS, fits_broadcast, key_frequency
 
 # Word lists up to this size become a literal hash set; larger ones are joined.
 LITERAL_WORDS = 10_000
+# Tokens that are counted at once.
+SLICE_TOKENS = 1 << 20
 
 
 def tokenize(
@@ -98,12 +103,58 @@ def prepare(
     return drop_low_ranked(tokens, rank_threshold, id_col) if rank_threshold > 0 else tokens
 
 
-def bag_of_words(tokens: DataFrame, n: int = 1, id_col: str = "doc_id") -> DataFrame:
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Pieces of a batch with about ``SLICE_TOKENS`` tokens, one row at least, and their list lengths."""
+    lists = batch.column(1)
+    ends = np.cumsum(np.asarray(pc.fill_null(pc.list_value_length(lists), 0)).astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        base = ends[first - 1] if first else 0
+        last = max(int(np.searchsorted(ends, base + SLICE_TOKENS, side="right")), first + 1)
+        yield batch.slice(first, last - first), np.diff(np.concatenate([[base], ends[first:last]]))
+        first = last
+
+
+def _numbered_grams(lists: pa.Array, lengths: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(row of each n-gram, its number, the n-grams by number): tokens are named once, windows are made
+    of numbers, and only distinct n-grams become strings."""
+    coded = lists.flatten().dictionary_encode()
+    token = np.asarray(coded.indices).astype(np.int64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    if n == 1:
+        return row, token, coded.dictionary
+    at = np.flatnonzero(row[: len(row) - n + 1] == row[n - 1 :]) if len(row) >= n else np.empty(0, np.int64)
+    number = token[at]
+    first = np.arange(len(at))
+    for k in range(1, n):
+        pairs = number * max(len(coded.dictionary), 1) + token[at + k]
+        _, first, number = np.unique(pairs, return_index=True, return_inverse=True)
+    words = [coded.dictionary.take(pa.array(token[at[first] + k])) for k in range(n)]
+    return row[at], number, pc.binary_join_element_wise(*words, " ")
+
+
+def bag_of_words(tokens: DataFrame, n: int = 1, id_col: str = "doc_id", in_row: bool = False) -> DataFrame:
     """Occurrences of each n-gram per document row.  Absent n-grams count 0 and have no row.
 
-    Counted inside the row, without an exchange."""
-    counted = tokens.select(id_col, tx.explode_tokens(tx.run_lengths(tx.ngrams(F.col("tokens"), n)), "c"))
-    return counted.where(tx.present("c")).select(id_col, "c.term", "c.tf")
+    Counted batch by batch without an exchange; with ``in_row`` by expressions of the row, which
+    keeps a distribution by document."""
+    if in_row:
+        counted = tokens.select(id_col, tx.explode_tokens(tx.run_lengths(tx.ngrams(F.col("tokens"), n)), "c"))
+        return counted.where(tx.present("c")).select(id_col, "c.term", "c.tf")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, lengths in _slices(batch):
+                row, number, grams = _numbered_grams(part.column(1), lengths, n)
+                cells, tf = np.unique(row * max(len(grams), 1) + number, return_counts=True)
+                row, number = np.divmod(cells, max(len(grams), 1))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(pa.array(row)), grams.take(pa.array(number)), pa.array(tf.astype(np.int64))],
+                    names=[id_col, "term", "tf"],
+                )
+
+    id_type = tokens.schema[id_col].dataType.simpleString()
+    return tokens.select(id_col, "tokens").mapInArrow(count, f"`{id_col}` {id_type}, term string, tf long")
 
 
 def counts_of(pairs: DataFrame, counts: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -180,7 +231,13 @@ def vocabulary(
 
     With ``span_documents`` the corpus is read as one token stream in id order, which adds
     the n-grams that run across neighbouring documents."""
-    own = tokens.select(tx.explode_tokens(tx.ngrams(F.col("tokens"), n), "term")).where(tx.present("term"))
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, lengths in _slices(batch):
+                yield pa.RecordBatch.from_arrays([_numbered_grams(part.column(1), lengths, n)[2]], names=["term"])
+
+    own = tokens.select(id_col, "tokens").mapInArrow(grams, "term string")
     if span_documents and n > 1:
         own = own.unionByName(spanning_ngrams(tokens, n, id_col))
     return own.distinct()
