@@ -14,7 +14,6 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -24,8 +23,8 @@ from pyspark.sql import DataFrame
 from .arrays import blocks, frees, ranges, text_column
 
 MARK = "▁"
-KEPT_WORDS = 200_000
-KEPT_PAIRS = 1 << 18
+KEPT_WORDS = 150_000
+KEPT_PAIRS = 1 << 17
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the file format (fixed values)
 BPE = 2  # model type of the file format (fixed value)
 
@@ -72,16 +71,30 @@ class Pieces:
         self.names = names
         inner = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id_of)
         self.parts = re.compile(r"(?s).+" if inner else f"{MARK}*[^{MARK}]+|{MARK}+").findall
-        self.alone = lru_cache(KEPT_PAIRS)(lambda t: self.merged(self.names[t]) == [self.names[t]])
-        self.fits = lru_cache(KEPT_PAIRS)(
-            lambda a, b: self.merged(self.names[a] + self.names[b]) == [self.names[a], self.names[b]]
-        )
+        self.known_alone = bytearray(len(names))  # 0: not known, 1: no, 2: yes
+        self.known_fits: dict[int, bool] = {}
         self._forget()
 
     def _forget(self) -> None:
         self.row_of: dict[str, int] = {}
         self.flat, self.start, self.length = array("i"), array("q"), array("q")
 
+    def alone(self, token: int) -> bool:
+        """Whether merging the characters of a piece gives the piece."""
+        if not self.known_alone[token]:
+            name = self.names[token]
+            self.known_alone[token] = 1 + (self.merged(name) == [name])
+        return self.known_alone[token] == 2
+
+    def fits(self, pair: int) -> bool:
+        """Whether two pieces, as first * vocabulary + second, stay apart side by side."""
+        a, b = divmod(pair, len(self.names))
+        left, right = self.names[a], self.names[b]
+        if len(self.known_fits) >= KEPT_PAIRS:
+            self.known_fits.clear()
+        found = self.known_fits[pair] = self.merged(left + right) == [left, right]
+        return found
+
     def merged(self, text: str) -> list[str]:
         """The pieces that merging the characters of a short text leads to."""
         symbols = list(text)
@@ -101,6 +114,7 @@ class Pieces:
         if text in self.id_of and self.alone(self.id_of[text]):
             return [self.id_of[text]]
         last, width = [0] * len(text), [0] * len(text)
+        known, many = self.known_fits, len(self.names)
         for end, (token, size) in self.automaton.iter(text):
             if width[end]:
                 continue
@@ -109,7 +123,10 @@ class Pieces:
                 right = before < 0 or width[before] < 0 or last[before] < 0
                 right = (right or text[before] not in self.id_of) and self.alone(token)
             else:
-                right = self.fits(last[before], token)
+                pair = last[before] * many + token
+                right = known.get(pair)
+                if right is None:
+                    right = self.fits(pair)
             if right:
                 last[end], width[end] = token, size
         out: list[int] = []
