@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.kernels import default_gamma
+from ..functions.kernels import default_gamma, kernel_distance as kernel_distance_of
 from ..operators import calibration as cal, evaluate as ev, margin as mg, queries as qs, training as tr
 from ..plans import active, multiclass
 from ..sources.scratch import materialize
@@ -143,12 +143,9 @@ POLY = f"pow({GAMMA} * {{x}} + {COEF0}, {DEGREE})"
 )
 def kernel_matrix(spark, sf_dir):
     rows = vectors(spark, sf_dir)
-    pairs, out = following_pairs(rows), None
-    for kind, coef0 in (("linear", 0.0), ("poly", COEF0), ("rbf", 0.0), ("sigmoid", 0.0)):
-        found = mg.kernel_pairs(pairs, rows, rows, kind, GAMMA, coef0, DEGREE)
-        found = found.select("a", "b", rounded("k_ab").alias(kind))
-        out = found if out is None else out.join(found, ["a", "b"])
-    return out
+    kernels = {kind: (kind, GAMMA, COEF0 if kind == "poly" else 0.0, DEGREE) for kind in ("linear", "poly", "rbf", "sigmoid")}
+    found = mg.kernel_table(following_pairs(rows), rows, rows, kernels)
+    return found.select("a", "b", *[rounded(kind).alias(kind) for kind in kernels])
 
 
 @query("kernel_cosine", f"WITH {FOLLOWING} SELECT a, b, round(abs({POLY.format(x='ab')}) / sqrt({POLY.format(x='aa')} * {POLY.format(x='bb')}), 6) + 0.0 AS cosine FROM k")
@@ -165,12 +162,9 @@ def kernel_cosine(spark, sf_dir):
 )
 def kernel_distance(spark, sf_dir):
     rows = vectors(spark, sf_dir)
-    found = materialize(mg.kernel_pairs(following_pairs(rows), rows, rows, "rbf", GAMMA), "kernels")
-    plus = mg.pair_kernel_distance(found)
-    minus = mg.pair_kernel_distance(found, metric=True).withColumnRenamed("distance", "metric")
-    return plus.join(minus, ["a", "b"]).select(
-        "a", "b", rounded("distance").alias("distance"), rounded("metric").alias("metric")
-    )
+    found = mg.kernel_pairs(following_pairs(rows), rows, rows, "rbf", GAMMA)
+    plus, minus = (kernel_distance_of(F.col("k_ab"), F.col("k_aa"), F.col("k_bb"), m) for m in (False, True))
+    return found.select("a", "b", rounded(plus).alias("distance"), rounded(minus).alias("metric"))
 
 
 KERNEL_DECISION = f"""{VECTOR_SPLIT}, sv AS (SELECT m.label AS model_id, sp.id, embedding,

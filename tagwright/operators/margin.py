@@ -156,19 +156,34 @@ def kernel_pairs(
     coef0: float = 0.0, degree: int = 3, id_col: str = "id", vector_col: str = "vec",
 ) -> DataFrame:
     """``(a, b, k_ab, k_aa, k_bb)`` for requested pairs of rows."""
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col(id_col).alias(name), F.col(vector_col).alias(f"{name}_vec"))
+    joined = _pair_vectors(pairs, left, right, id_col, vector_col)
 
     def k(x: str, y: str) -> Column:
         return kn.kernel(F.col(x), F.col(y), kind, gamma, coef0, degree)
 
-    joined = pairs.join(side(left, "a"), "a").join(side(right, "b"), "b")
     return joined.select(
         "a", "b", k("a_vec", "b_vec").alias("k_ab"), k("a_vec", "a_vec").alias("k_aa"),
         k("b_vec", "b_vec").alias("k_bb"),
     )
 
 
+def kernel_table(
+    pairs: DataFrame, left: DataFrame, right: DataFrame, kernels: dict[str, tuple], id_col: str = "id", vector_col: str = "vec",
+) -> DataFrame:
+    """``(a, b, <name>, ...)``: several kernels of requested pairs, the vectors brought together once.
+    ``kernels`` maps a column name to (kind, gamma, coef0, degree)."""
+    joined = _pair_vectors(pairs, left, right, id_col, vector_col)
+    values = [kn.kernel(F.col("a_vec"), F.col("b_vec"), *settings).alias(name) for name, settings in kernels.items()]
+    return joined.select("a", "b", *values)
+
+
+def _pair_vectors(pairs: DataFrame, left: DataFrame, right: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.select(F.col(id_col).alias(name), F.col(vector_col).alias(f"{name}_vec"))
+
+    return pairs.join(side(left, "a"), "a").join(side(right, "b"), "b")
+
+
 def pair_kernel_cosine(kernel_rows: DataFrame) -> DataFrame:
     value = kn.kernel_cosine(F.col("k_ab"), F.col("k_aa"), F.col("k_bb"))
     return kernel_rows.select("a", "b", value.alias("cosine"))
