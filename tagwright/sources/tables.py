@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from .csv_blocks import csv_records
+
 RAW_SCHEMA = "id LONG, text STRING, sentiment STRING"
 # What is written is read back as it was: blanks at the edges, empty texts (quoted) apart from
 # nulls (nothing at all), and line ends of any kind inside quotes.
@@ -18,8 +20,13 @@ NULL_CELL = "\x00null\x00"  # stands for an unquoted empty cell while a file is
 
 
 def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """A CSV of quoted cells, which may hold commas, quotes and newlines."""
-    return spark.read.csv(path, schema=schema, multiLine=True, nullValue=NULL_CELL, emptyValue="", **EXACT_CSV)
+    """A CSV of quoted cells, which may hold commas, quotes and newlines; a large file is read by
+    several tasks.  Each file begins with a header."""
+    ddl = schema if isinstance(schema, str) else ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    options = {k: str(v).lower() if isinstance(v, bool) else v for k, v in EXACT_CSV.items() if k not in ("header", "encoding")}
+    options |= {"multiLine": "true", "nullValue": NULL_CELL, "emptyValue": ""}
+    records = csv_records(spark, path).where(~F.col("first") & (F.col("value") != ""))
+    return records.select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: str = RAW_SCHEMA) -> DataFrame:
