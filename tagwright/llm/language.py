@@ -54,10 +54,18 @@ def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return feature.astype(np.int64), counts[offsets].astype(np.int64)
 
 
+def language_tag(declared: Column) -> Column:
+    """The language of a tag, without region or script and in lower case: ``en`` for ``EN``, ``en-US``
+    or ``en_GB``.  Null for a blank tag."""
+    first = F.regexp_extract(declared, r"^\s*([^\s_-]+)", 1)
+    return F.when(first != "", F.lower(first))
+
+
 def fit_text(texts: DataFrame, text: str = "text", language: str = "lang") -> TextModel:
-    """Add-one estimates from all rows with a language, however few it has.  Null and empty
-    texts add nothing.  The model has a row of 256 KB for each language."""
-    rows = texts.select(texts[text].alias("_text"), texts[language].alias("_lang")).where("_lang is not null")
+    """Add-one estimates from all rows with a language, however few it has.  Tags are read by
+    ``language_tag``, so spellings of one language are one.  Null and empty texts add nothing.  The
+    model has a row of 256 KB for each language."""
+    rows = texts.select(texts[text].alias("_text"), language_tag(texts[language]).alias("_lang")).where("_lang is not null")
     languages = tuple(sorted(r[0] for r in rows.select("_lang").distinct().collect()))
     place = {name: i for i, name in enumerate(languages)}
     size = 1 << FEATURE_BITS
@@ -144,7 +152,8 @@ def identify(
     a column text, if it is kept.
 
     ``text``, ``declared`` and ``address`` (a host name, or any name of a source) are columns of
-    ``rows``; each may be null, and what is missing is no evidence.  The language is the one
+    ``rows``; each may be null, and what is missing is no evidence.  A declaration is read by
+    ``language_tag``, as the model's languages are.  The language is the one
     with the largest posterior, the first by name among equals; it is null, and the row not
     accepted, if the text has no letters.  A row is accepted when the posterior reaches
     ``least`` and the text is likelier in that language than as evenly mixed letters.  Repeated
@@ -152,7 +161,7 @@ def identify(
     n = len(model.languages)
     packed = F.struct(*[rows[c] for c in keep])
     source = rows.select(
-        packed.alias("_keep"), text.alias("_text"), F.lower(F.substring_index(declared, "-", 1)).alias("_declared"),
+        packed.alias("_keep"), text.alias("_text"), language_tag(declared).alias("_declared"),
         F.coalesce(F.lower(address), F.lit("")).alias("_host"),
     )
     body = [F.col("_text").alias("text")] if keep_text else []

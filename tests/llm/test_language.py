@@ -119,3 +119,16 @@ def test_rare_languages_have_a_model(spark):
     df = spark.createDataFrame(rows, "id long, text string, lang string")
     got = L.identify(df, model, df["text"], df["lang"], F.lit(None).cast("string"), ["id"]).collect()
     assert {r.id: (r.language, r.accepted) for r in got} == {1: ("it", True), 2: ("zh", True), 3: ("zh", True), 4: ("en", True)}
+
+
+def test_spellings_of_a_tag_are_one_language(spark):
+    """FR, fr-CA and fr_BE train one model and are known as declarations."""
+    french, english = "le chat est sur la table et le chien aussi", "the cat is on the table and so is the dog"
+    rows = [(i, french, ["FR", "fr-CA", " fr_BE", "fr"][i % 4], "a") for i in range(40)]
+    rows += [(100 + i, english, ["en-US", "EN", "en", "", None][i % 5], "b") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    model = L.fit_text(docs)
+    assert model.languages == ("en", "fr")
+    short = spark.createDataFrame([(1, "table", "FR-ca", "c"), (2, "table", "en_GB", "c"), (3, french, "-", None)], docs.schema)
+    found = L.identify(short, model, short["text"], short["lang"], short["source"], ["doc_id"])
+    assert {r.doc_id: r.language for r in found.collect()} == {1: "fr", 2: "en", 3: "fr"}
