@@ -129,6 +129,7 @@ def test_spellings_of_a_tag_are_one_language(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     model = L.fit_text(docs)
     assert model.languages == ("en", "fr")
-    short = spark.createDataFrame([(1, "table", "FR-ca", "c"), (2, "table", "en_GB", "c"), (3, french, "-", None)], docs.schema)
-    found = L.identify(short, model, short["text"], short["lang"], short["source"], ["doc_id"])
-    assert {r.doc_id: r.language for r in found.collect()} == {1: "fr", 2: "en", 3: "fr"}
+    short = spark.createDataFrame([(1001, "table", "FR-ca", "c"), (1002, "table", "en_GB", "d"), (1003, french, "-", None)], docs.schema)
+    every = docs.unionByName(short)
+    found = L.identify(every, model, every["text"], every["lang"], every["source"], ["doc_id"]).where("doc_id > 1000")
+    assert {r.doc_id: r.language for r in found.collect()} == {1001: "fr", 1002: "en", 1003: "fr"}
