@@ -23,8 +23,9 @@ from pyspark.sql import DataFrame
 from .arrays import blocks, frees, ranges, text_column
 
 MARK = "▁"
-KEPT_WORDS = 150_000
-KEPT_PAIRS = 1 << 17
+# Words and pairs of pieces that a worker remembers; a little more memory or a little more work.
+KEPT = (200_000, 1 << 20)
+KEPT_LEAN = (150_000, 1 << 17)
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6  # piece types of the file format (fixed values)
 BPE = 2  # model type of the file format (fixed value)
 
@@ -32,7 +33,7 @@ BPE = 2  # model type of the file format (fixed value)
 class Pieces:
     """A BPE model with byte fallback, no text normalisation and no user-defined pieces."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: tuple[int, int] = KEPT):
         from sentencepiece import sentencepiece_model_pb2
 
         model = sentencepiece_model_pb2.ModelProto()
@@ -68,7 +69,7 @@ class Pieces:
         for piece, i in self.id_of.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        self.names = names
+        self.names, self.kept = names, kept
         inner = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id_of)
         self.parts = re.compile(r"(?s).+" if inner else f"{MARK}*[^{MARK}]+|{MARK}+").findall
         self.known_alone = bytearray(len(names))  # 0: not known, 1: no, 2: yes
@@ -90,7 +91,7 @@ class Pieces:
         """Whether two pieces, as first * vocabulary + second, stay apart side by side."""
         a, b = divmod(pair, len(self.names))
         left, right = self.names[a], self.names[b]
-        if len(self.known_fits) >= KEPT_PAIRS:
+        if len(self.known_fits) >= self.kept[1]:
             self.known_fits.clear()
         found = self.known_fits[pair] = self.merged(left + right) == [left, right]
         return found
@@ -143,7 +144,7 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, offsets of the texts in them), begin and end ids included."""
-        if len(self.row_of) > KEPT_WORDS:
+        if len(self.row_of) > self.kept[0]:
             self._forget()
         parts, count = [], np.zeros(len(texts) + 1, dtype=np.int64)
         for i, text in enumerate(texts):
@@ -184,27 +185,29 @@ class Pieces:
         return values, ends
 
 
-_models: dict[str, Pieces] = {}
+_models: dict[tuple, Pieces] = {}
 
 
-def model(path: str) -> Pieces:
-    if path not in _models:
-        _models[path] = Pieces(path)
-    return _models[path]
+def model(path: str, kept: tuple[int, int] = KEPT) -> Pieces:
+    if (path, kept) not in _models:
+        _models[path, kept] = Pieces(path, kept)
+    return _models[path, kept]
 
 
-def encode_documents(docs: DataFrame, model_path: str, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+def encode_documents(
+    docs: DataFrame, model_path: str, id_column: str = "doc_id", text: str = "text", kept: tuple[int, int] = KEPT
+) -> DataFrame:
     """(id, n_tokens, ids, decoded) for each row: the ids with begin and end id as
     little-endian 32-bit integers, and the text that they decode to.
 
     A null text counts as empty: its ids are the begin and the end id.  Rows with equal ids
     stay apart, other columns (whatever their names) are not read, an empty table gives no
     row, and texts of any length are encoded whole.  ``model_path`` must be readable on
-    every worker."""
+    every worker.  ``kept`` bounds what a worker remembers and changes no result."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = model(model_path)
+        pieces = model(model_path, kept)
         for block in blocks(batches, "_text"):
             texts = block.column("_text").to_pylist()
             ids, offsets = pieces.encode(texts)
