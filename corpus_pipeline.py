@@ -14,7 +14,7 @@ from tagwright.llm.catalog import table, tokenizer_path
 from tagwright.llm.contamination import benchmark_hits, contaminated
 from tagwright.llm.jaccard import similar_groups
 from tagwright.llm.lines import deduplicate_lines
-from tagwright.llm.pieces import encode_documents
+from tagwright.llm.pieces import KEPT_LEAN, encode_documents
 from tagwright.operators.lookup import fits_broadcast
 from tagwright.sources.scratch import materialize
 
@@ -62,7 +62,7 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids (little-endian 32-bit) and the text that the ids decode to."""
-    return encode_documents(docs, tokenizer_path("piece_bpe_32k.model"))
+    return encode_documents(docs, tokenizer_path("piece_bpe_32k.model"), kept=KEPT_LEAN)
 
 
 STAGES = [
