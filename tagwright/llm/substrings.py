@@ -1,10 +1,10 @@
 """Removal of every byte that lies in a long string which also starts somewhere else.
 
-All strings of a fixed length are compared as in a suffix array, by refining buckets.  The
-bucket of a place is named by its content, so buckets of different texts agree without any
-exchange: eight bytes name the first bucket, and a bucket of twice the length is named by the
-bucket of the place and the bucket of the later offset, with the new names used again for the
-next step.  Only buckets that can still be shared are refined across texts:
+All strings of a fixed length are compared by names of their content, in place of the sorting
+step of suffix-array refinement: equal strings get equal names in any text, so texts need no
+exchange for each doubling.  Eight bytes give a place its first name; the name of twice the length
+comes from the names of the place and of the later offset, inside a chunk, whether or not the
+place is still shared.  No bucket is sorted or split.  Across texts, two steps compare names:
 
 1. Every string has the same smallest q-gram bucket wherever it starts.  Neighbouring strings
    with the same one form a run.  A run whose bucket is met once in all texts is settled: its
