@@ -5,7 +5,8 @@ and the history of the descent are tables with one row per shard of features, so
 size has no dense vector on the driver.  A pass computes decisions, losses and the partial
 gradients of all models that still move; gradients are added per shard.  While all weights fit a
 broadcast a task does the whole pass over its chunks; beyond that each piece of a chunk meets the
-weights of its own shard, decisions are added per chunk and go back to the pieces.
+weights of its own shard, decisions are added per chunk and go back to the pieces.  The driver holds
+weights and history up to ``HELD_BYTES``; beyond that they are tables.
 
 The descent is limited-memory BFGS in which the driver only sees inner products: a direction is a
 combination of stored vectors, and its coefficients follow from their products (Chen, Wang and Zhou
@@ -30,6 +31,7 @@ SHARD_FEATURES = 8_192
 CHUNK_ENTRIES = 1 << 16
 HISTORY = 5
 STORED = 2 * HISTORY + 1  # steps, gradient changes, gradient
+HELD_BYTES = 256 << 20  # of weights and history on the driver
 STATE = "shard int, n int, bias int, w binary, basis binary, dots array<double>"
 LOSS = -1  # in place of a shard number
 PIECES = "array<struct<shard:int,rows:binary,cols:binary,vals:binary>>"
@@ -264,16 +266,16 @@ class _Shard:
 
     def __init__(self, row: dict, k: int):
         self.k, self.n, self.bias = k, row["n"], row["bias"]
-        self.w = self._read(row["w"], ())
-        self.basis = self._read(row["basis"], (STORED,))  # steps and changes, oldest first, then the gradient
+        self.w = self._read(row["w"], (self.n, k))
+        self.basis = self._read(row["basis"], (k, STORED, self.n))  # steps and changes, oldest first, then the gradient
 
-    def _read(self, data: bytes, lead: tuple[int, ...]) -> np.ndarray:
-        shape = (*lead, self.n, self.k)
-        return np.frombuffer(data).reshape(shape) if data else np.zeros(shape)
+    def _read(self, data: bytes, shape: tuple[int, ...]) -> np.ndarray:
+        return np.frombuffer(data).reshape(shape).copy() if data else np.zeros(shape)
 
-    def trial(self, scaled: np.ndarray) -> np.ndarray:
-        """Weights moved by ``scaled``, the coefficients of the basis per model times its step."""
-        return self.w + np.einsum("sfk,ks->fk", self.basis, scaled)
+    def trial(self, scaled: np.ndarray, moving: np.ndarray) -> np.ndarray:
+        """Weights of the models ``moving``, moved by ``scaled``: the coefficients of the basis per model
+        times its step."""
+        return np.stack([self.w[:, j] + scaled[j] @ self.basis[j] for j in moving], axis=1)
 
     def free(self, t: np.ndarray) -> np.ndarray:
         """Without the bias, which is not penalised."""
@@ -285,24 +287,29 @@ class _Shard:
     def square(self, t: np.ndarray) -> np.ndarray:
         return (self.free(t) ** 2).sum(axis=0)
 
-    def advance(self, scaled: np.ndarray, found: bytes | None, accept: np.ndarray, first: np.ndarray, penalty: np.ndarray) -> None:
+    def advance(
+        self, scaled: np.ndarray, found: bytes | None, moving: np.ndarray, accept: np.ndarray, first: np.ndarray, penalty: np.ndarray
+    ) -> None:
         """Accepted models take their trial weights and remember the step.  ``found`` is the gradient of
-        the data term; features at its end that no row has may be missing."""
-        t, data = self.trial(scaled), np.zeros((self.n, self.k))
+        the data term of the models ``moving``; features at its end that no row has may be missing."""
+        t = self.trial(scaled, moving)
+        grad = self.free(t)
         if found:
-            values = np.frombuffer(found).reshape(-1, self.k)
-            data[: len(values)] = values
-        grad = self.free(t) + penalty * data
-        basis = self.basis.copy()
-        for lead, new in ((0, t - self.w), (HISTORY, grad - basis[-1])):
-            old = basis[lead : lead + HISTORY]
-            basis[lead : lead + HISTORY] = np.where(accept & ~first, np.concatenate([old[1:], new[None]]), old)
-        basis[-1] = np.where(accept, grad, basis[-1])
-        self.basis, self.w = basis, np.where(accept, t, self.w)
+            values = np.frombuffer(found).reshape(-1, len(moving))
+            grad[: len(values)] += penalty[moving] * values
+        for at, j in enumerate(moving):
+            if not accept[j]:
+                continue
+            own = self.basis[j]
+            if not first[j]:
+                for lead, new in ((0, t[:, at] - self.w[:, j]), (HISTORY, grad[:, at] - own[-1])):
+                    own[lead : lead + HISTORY - 1] = own[lead + 1 : lead + HISTORY].copy()
+                    own[lead + HISTORY - 1] = new
+            own[-1], self.w[:, j] = grad[:, at], t[:, at]
 
     def dots(self) -> np.ndarray:
         """Inner products of the stored vectors of each model."""
-        return np.einsum("afk,bfk->kab", self.basis, self.basis)
+        return np.stack([own @ own.T for own in self.basis])
 
 
 class _OnDriver:
@@ -312,24 +319,25 @@ class _OnDriver:
         """``few``: the partial gradients of all tasks are small together."""
         self.k, self.few, self.shards = k, few, {r["shard"]: _Shard(r.asDict(), k) for r in state.collect()}
 
-    def passed(self, chunks: DataFrame, scaled: np.ndarray, specs, smooth: float) -> tuple[np.ndarray, np.ndarray]:
-        """(squared lengths, losses) of the trial weights."""
-        trials = {shard: own.trial(scaled) for shard, own in self.shards.items()}
-        sums = _whole_pass(chunks, trials, specs, smooth)
+    def passed(self, chunks: DataFrame, scaled: np.ndarray, specs, moving: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
+        """(squared lengths, losses) of the trial weights of the models ``moving``."""
+        trials = {shard: own.trial(scaled, moving) for shard, own in self.shards.items()}
+        square = sum(own.square(trials[shard]) for shard, own in self.shards.items())
+        sums, m = _whole_pass(chunks, trials, specs, smooth), len(moving)
         if self.few:
             total: dict[int, np.ndarray] = {}
             for r in sums.toArrow().to_pylist():
                 shard = r["shard"]
-                own = total.setdefault(shard, np.zeros((self.shards[shard].n if shard != LOSS else 1, self.k)))
-                own[np.frombuffer(r["cols"], np.int32)] += np.frombuffer(r["vals"]).reshape(-1, self.k)
+                own = total.setdefault(shard, np.zeros((self.shards[shard].n if shard != LOSS else 1, m)))
+                own[np.frombuffer(r["cols"], np.int32)] += np.frombuffer(r["vals"]).reshape(-1, m)
             self.grads = {shard: own.tobytes() for shard, own in total.items()}
         else:
-            self.grads = {r["shard"]: r["grad"] for r in _added(sums, self.k).toArrow().to_pylist()}
-        return sum(own.square(trials[shard]) for shard, own in self.shards.items()), np.frombuffer(self.grads[LOSS])
+            self.grads = {r["shard"]: r["grad"] for r in _added(sums, m).toArrow().to_pylist()}
+        return square, np.frombuffer(self.grads[LOSS])
 
-    def advance(self, scaled, accept, first, penalty) -> np.ndarray:
+    def advance(self, scaled, moving, accept, first, penalty) -> np.ndarray:
         for shard, own in self.shards.items():
-            own.advance(scaled, self.grads.get(shard), accept, first, penalty)
+            own.advance(scaled, self.grads.get(shard), moving, accept, first, penalty)
         return sum(own.dots() for own in self.shards.values())
 
     def table(self, spark) -> DataFrame:
@@ -344,11 +352,11 @@ class _InTables:
         self.state, self.k, self.rows, self.limit = state, k, rows, broadcast_limit
         self.shard_bytes = 8 * k * max(state.agg(F.max("n")).first()[0], 1)
 
-    def passed(self, chunks: DataFrame, scaled: np.ndarray, specs, smooth: float) -> tuple[np.ndarray, np.ndarray]:
-        trials = _trials(self.state, scaled)
+    def passed(self, chunks: DataFrame, scaled: np.ndarray, specs, moving: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
+        trials, m = _trials(self.state, scaled, moving), len(moving)
         if fits_broadcast(self.rows.n_features, 8 * self.k, self.limit):
             found = trials.toArrow().to_pylist()
-            weights = {r["shard"]: np.frombuffer(r["t"]).reshape(-1, self.k) for r in found}
+            weights = {r["shard"]: np.frombuffer(r["t"]).reshape(-1, m) for r in found}
             square = np.sum([r["square"] for r in found], axis=0)
             sums = _whole_pass(chunks, weights, specs, smooth)
         else:
@@ -356,17 +364,17 @@ class _InTables:
             cells = trials.select(F.posexplode("square").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
             square = np.array([r["x"] for r in cells.orderBy("at").collect()])
             sums = _sharded_pass(chunks, trials, self.rows.n_shards, specs, smooth, self.limit, self.shard_bytes)
-        self.grads = materialize(_added(sums, self.k), "sparse-gradient")
+        self.grads = materialize(_added(sums, m), "sparse-gradient")
         return square, np.frombuffer(self.grads.where(F.col("shard") == LOSS).first()["grad"])
 
-    def advance(self, scaled, accept, first, penalty) -> np.ndarray:
+    def advance(self, scaled, moving, accept, first, penalty) -> np.ndarray:
         k = self.k
 
         def step(batches):
             for batch in batches:
                 for r in batch.to_pylist():
                     own = _Shard(r, k)
-                    own.advance(scaled, r["grad"], accept, first, penalty)
+                    own.advance(scaled, r["grad"], moving, accept, first, penalty)
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array([r["shard"]], pa.int32()), pa.array([own.n], pa.int32()), pa.array([own.bias], pa.int32()),
@@ -388,15 +396,15 @@ class _InTables:
         return self.state
 
 
-def _trials(state: DataFrame, scaled: np.ndarray) -> DataFrame:
-    """``(shard, t, square)``: trial weights and their squared length per model."""
+def _trials(state: DataFrame, scaled: np.ndarray, moving: np.ndarray) -> DataFrame:
+    """``(shard, t, square)``: trial weights and their squared length per model that moves."""
     k = len(scaled)
 
     def move(batches):
         for batch in batches:
             for r in batch.to_pylist():
                 own = _Shard(r, k)
-                t = own.trial(scaled)
+                t = own.trial(scaled, moving)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r["shard"]], pa.int32()), pa.array([t.tobytes()], pa.binary()), pa.array([own.square(t).tolist()])],
                     names=["shard", "t", "square"],
@@ -425,7 +433,7 @@ def _direction(dots: np.ndarray, pairs: int) -> np.ndarray:
 
 def fit_sparse(
     rows: SparseRows, specs: Sequence[SparseSpec], tolerance: float = 1e-3, max_passes: int = 1_000,
-    smooth: float = 0.1, broadcast_limit: int = BROADCAST_BYTES, driver_limit: int = DRIVER_BYTES,
+    smooth: float = 0.1, broadcast_limit: int = BROADCAST_BYTES, driver_limit: int = HELD_BYTES,
 ) -> SparseFit:
     """Fit all ``specs`` together; a model that does not reach the tolerance is an error.
 
@@ -443,9 +451,9 @@ def fit_sparse(
         "sparse-state",
     )
     penalty = np.array([s.C for s in specs])
-    if fits_broadcast(rows.n_features, 8 * k * (STORED + 1), min(driver_limit, broadcast_limit)):
+    if fits_broadcast(rows.n_features, 8 * k * (STORED + 1), driver_limit) and fits_broadcast(rows.n_features, 8 * k, broadcast_limit):
         cores = spark.sparkContext.defaultParallelism
-        few = rows.n_chunks <= 4 * cores and fits_broadcast(rows.n_features * rows.n_chunks, 8 * k, driver_limit)
+        few = rows.n_chunks <= 4 * cores and fits_broadcast(rows.n_features * rows.n_chunks, 8 * k, DRIVER_BYTES)
         if few:  # a task for each chunk
             chunks.unpersist()
             chunks = rows.chunks.repartition(rows.n_chunks, "chunk").persist()
@@ -458,13 +466,14 @@ def fit_sparse(
     norm, first_norm = np.full(k, np.inf), np.ones(k)
     dots = np.zeros((k, STORED, STORED))
     for _ in range(max_passes):
-        scaled = delta * np.where(moving, step, 0.0)[:, None]
-        square, loss = held.passed(chunks, scaled, specs, smooth)
-        new = 0.5 * square + penalty * loss
+        scaled, members = delta * np.where(moving, step, 0.0)[:, None], np.flatnonzero(moving)
+        square, loss = held.passed(chunks, scaled, [specs[i] for i in members], members, smooth)
+        new = np.zeros(k)
+        new[members] = 0.5 * square + penalty[members] * loss
         passes[moving] += 1
         accept = moving & (first | (new <= value + 1e-4 * step * slope))
         if accept.any():
-            dots = held.advance(scaled, accept, first, penalty)
+            dots = held.advance(scaled, members, accept, first, penalty)
         for i in np.flatnonzero(moving):
             if accept[i]:
                 value[i], norm[i] = new[i], np.sqrt(dots[i, -1, -1])

@@ -1,5 +1,7 @@
 """Sparse large-margin fits: equal to dense ones, equal on both ways of passing, optimal."""
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -88,3 +90,16 @@ def test_scores_and_edges(spark, data, fitted):
     one = labels.where("id = 3")  # one row: a bias and its entries
     only = sp.fit_sparse(sp.sparse_training_rows(features, one), [sp.SparseSpec("m", 1.0, int(label[3]))])
     assert only.weights.where(F.col("feature") == mg.BIAS).count() == 1
+
+
+def test_history_of_a_usual_vocabulary_stays_on_the_driver(data, monkeypatch):
+    """Passes of half a million features need no tables; models that are fitted take no part in them."""
+    rows = sp.sparse_training_rows(data[2], data[3])
+    wide = replace(rows, n_features=500_000)
+    seen = []
+    whole = sp._whole_pass
+    monkeypatch.setattr(sp, "_whole_pass", lambda chunks, weights, specs, smooth: seen.append(len(specs)) or whole(chunks, weights, specs, smooth))
+    monkeypatch.setattr(sp, "_InTables", None)
+    fit = sp.fit_sparse(wide, SPECS, tolerance=1e-2)
+    assert seen[0] == 3 and seen[-1] < 3
+    assert sum(seen) == sum(r.passes for r in fit.report.collect())
