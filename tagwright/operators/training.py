@@ -32,6 +32,7 @@ from .sampling import hash_rank
 HISTORY = 8
 BATCH_ROWS = 4_096
 LEAST_ROWS = 128
+MAPPED_ROWS = 1_024  # rows mapped to the features of a kernel at a time
 DRIVER_BYTES = 16 << 20
 
 
@@ -133,6 +134,13 @@ def _mapper(kernel: str, n_features: int, n_components: int, seed: int):
     return mapped
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, at most ``MAPPED_ROWS`` at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, MAPPED_ROWS):
+            yield batch.slice(start, MAPPED_ROWS)
+
+
 def _rounded_hinge(margins: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
     gap = 1.0 - margins
     loss = np.where(gap >= smooth, gap - smooth / 2, np.square(np.maximum(gap, 0.0)) / (2 * smooth))
@@ -161,7 +169,7 @@ def _gradient_pass(
         for i, s in enumerate(specs):
             groups.setdefault(s.gamma, []).append(i)
         seen = False
-        for batch in batches:
+        for batch in _pieces(batches):
             seen = True
             table = pa.Table.from_batches([batch])
             x, cache = dense_matrix(table), {}
@@ -365,7 +373,7 @@ def margin_decisions(vectors: DataFrame, model: MarginModel, id_col: str = "id")
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mapped = _mapper(kernel, *shape)
-        for batch in batches:
+        for batch in _pieces(batches):
             table = pa.Table.from_batches([batch])
             x, cache = dense_matrix(table), {}
             for i, s in enumerate(specs):
@@ -388,7 +396,7 @@ def held_out_decisions(train: DataFrame, model: MarginModel) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mapped = _mapper(kernel, *shape)
-        for batch in batches:
+        for batch in _pieces(batches):
             table = pa.Table.from_batches([batch])
             x, cache = dense_matrix(table), {}
             fold = np.asarray(table.column("fold"))

@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -181,3 +182,10 @@ def test_a_fit_that_does_not_converge_is_an_error(spark):
     x, y = blobs(spark, n=40, gap=1.0)
     with pytest.raises(RuntimeError, match="not fitted after 3 passes"):
         tr.fit_margin(x, y, tr.MarginParams(kernel="linear", tolerance=1e-9, max_passes=3))
+
+
+def test_rows_are_mapped_in_bounded_pieces():
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000))], names=["id"])
+    pieces = list(tr._pieces([batch]))
+    assert max(p.num_rows for p in pieces) <= 1_024
+    assert [x for p in pieces for x in p.column(0).to_pylist()] == list(range(10_000))
