@@ -125,3 +125,35 @@ def test_a_block_pair_is_worked_out_in_bounded_slices():
     slices = list(blocks._sparse_cosines(sparse(n_left), sparse(n_right)))
     assert sum(len(s) for s in slices) == n_left and max(s.size for s in slices) <= 1 << 20
     assert all((s == 1.0).all() for s in slices)
+
+
+def test_largest_values_with_ties_and_nan():
+    values = RNG.integers(0, 50, (30, 700)).astype(float)
+    values[3] = 0.0
+    values[4, 5] = values[5, 699] = np.nan
+    row, column = blocks._largest(values, 6)
+    for i in range(30):
+        got = np.sort(values[i, column[row == i]])
+        assert len(set(column[row == i])) == 6
+        np.testing.assert_array_equal(got, np.sort(values[i])[-6:])
+
+
+@pytest.mark.parametrize("share", [0.0, 0.01, 2.0])
+def test_frequent_terms_as_columns_or_postings(share, monkeypatch):
+    """The same cosines whichever terms are columns, for a row that holds a term twice as well."""
+    monkeypatch.setattr(blocks, "DENSE_SHARE", share)
+    monkeypatch.setattr(blocks, "DENSE_TERMS", 20)
+    matrix = RNG.random((60, 40)) * (RNG.random((60, 40)) < np.linspace(0.9, 0.02, 40))
+    matrix[[2, 50]] = 0.0
+
+    def table(rows):
+        terms = [[7] * int(matrix[i, 7] > 0) + [j for j in range(40) if matrix[i, j]] for i in rows]
+        vals = [[1.5] * int(matrix[i, 7] > 0) + [matrix[i, j] for j in range(40) if matrix[i, j]] for i in rows]
+        return pa.table({"terms": pa.array(terms, pa.list_(pa.int64())), "vals": pa.array(vals, pa.list_(pa.float64()))})
+
+    sums = matrix.copy()
+    sums[:, 7] += 1.5 * (matrix[:, 7] > 0)
+    norms = np.sqrt((matrix * matrix).sum(1) + 2.25 * (matrix[:, 7] > 0))
+    unit = np.divide(sums, norms[:, None], out=np.zeros_like(sums), where=norms[:, None] > 0)
+    got = np.concatenate(list(blocks._sparse_cosines(table(range(20)), table(range(20, 60)))))
+    np.testing.assert_allclose(got, unit[:20] @ unit[20:].T, atol=1e-12)
