@@ -157,3 +157,29 @@ def test_tokens_are_counted_in_bounded_slices():
     parts = list(tx._slices(batch))
     assert sum(p.num_rows for p, _ in parts) == 500
     assert all(lengths.sum() <= 1 << 17 for _, lengths in parts)
+
+
+@pytest.mark.parametrize("mode,n", [("divide", 1), ("multiply", 1), ("divide", 2)])
+def test_weights_of_chunks_equal_joins(spark, monkeypatch, mode, n):
+    """Rows that repeat an id have a length together, whatever the chunks are; counts are not exchanged."""
+    monkeypatch.setattr(tx, "TEXT_CHUNK_BYTES", 40)
+    monkeypatch.setattr(tx, "CHUNKS_PER_PART", 2)
+    texts = ["aa bb cc cc", "aa bb élan", "bb", None, "", "the 12", "aa bb " * 30, "xy aa zz zz", "xy bb aa"]
+    rows = list(enumerate(texts * 3)) + [(0, "bb cc"), (None, "aa zz"), (None, "xy")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = tx.bag_of_words(tx.remove_stopwords(tx.tokenize(docs), ["the"]), n)
+    expected = tx.l2_normalize(tx.tfidf(counts, docs, mode))
+    got = weighted_terms(docs, ["the"], n, mode)
+    assert got.schema.simpleString() == expected.schema.simpleString()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "Join" not in plan
+
+    def cells(df):
+        return sorted((-1 if r["doc_id"] is None else r["doc_id"], r["term"], round(r["weight"], 9)) for r in df.collect())
+
+    assert cells(got) == cells(expected)
+    packed = weighted_terms(docs, ["the"], n, mode, packed=True)
+    assert packed.select("doc_id").distinct().count() == packed.count()
+    long = packed.select("doc_id", F.explode(F.arrays_zip("terms", "vals")).alias("z")).select("doc_id", "z.terms", "z.vals")
+    assert cells(long.toDF("doc_id", "term", "weight")) == cells(expected)
+    assert weighted_terms(docs.limit(0), ["the"], n, mode).count() == 0
