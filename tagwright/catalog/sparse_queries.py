@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import margin as mg, sparse_training as sp
+from ..operators.lookup import lookup_join, rows_of
 from ..plans import text_learner
+from ..sources.scratch import materialize, shuffles_freed
 from .corpus import EXPLODED, PORTER, STOPWORDS, documents
 from .registry import query, sql_list, table
 
 SPECS = (sp.SparseSpec("loose", 0.25), sp.SparseSpec("strict", 2.0), sp.SparseSpec("weighted", 1.0, 0, (4.0, 1.0)))
 TOLERANCE, SMOOTH = 1e-2, 0.1
+FIRST = "first "  # before the names of models without weights
 
 SPARSE_FIT = f"""WITH {EXPLODED}, words AS (SELECT DISTINCT term AS token FROM ex), {PORTER},
   bag AS (SELECT doc_id, stem AS term FROM ex JOIN stems ON term = token WHERE stem NOT IN ({sql_list(STOPWORDS)}) GROUP BY ALL),
@@ -23,23 +26,27 @@ SPARSE_FIT = f"""WITH {EXPLODED}, words AS (SELECT DISTINCT term AS token FROM e
   FROM (VALUES ('loose'), ('strict'), ('weighted')) v(m)"""
 
 
-def _gradient_norms(features: DataFrame, labels: DataFrame, weights: DataFrame, smooth: float) -> DataFrame:
-    """``(model_id, norm)`` of the objective's gradient at ``weights``, by joins and sums alone."""
+def _gradient_norms(features: DataFrame, labels: DataFrame, weights: DataFrame, specs: dict[str, sp.SparseSpec], smooth: float) -> DataFrame:
+    """``(model_id, norm)`` of the objective's gradient at ``weights``, by joins and sums alone.  ``specs``
+    names the objective of each model; all of them share the joins."""
     ids = labels.select("id")
-    own = features.join(ids, "id", "left_semi")
+    own = rows_of(features, ids, "id")
     scores = mg.decision_values(own, weights, ids).join(labels, "id")
-    terms = None
-    for s in SPECS:
+    slopes = []
+    for m, s in specs.items():
         positive = F.col("classLabel") > 0 if s.positive is None else F.col("classLabel") == s.positive
         y, use = F.when(positive, 1.0).otherwise(-1.0), F.when(positive, s.weights[0]).otherwise(s.weights[1])
         slope = F.greatest(F.least((1 - y * F.col("decision")) / smooth, F.lit(1.0)), F.lit(0.0)) * -y * use * s.C
-        part = scores.where(F.col("model_id") == s.model_id).select("id", "model_id", slope.alias("slope"))
-        terms = part if terms is None else terms.unionByName(part)
+        slopes.append(F.sum(F.when(F.col("model_id") == m, slope)).alias(f"s{len(slopes)}"))
+    terms = materialize(scores.groupBy("id").agg(*slopes), "slopes")
     cells = own.unionByName(ids.select("id", F.lit(mg.BIAS).alias("feature"), F.lit(1.0).alias("value")))
-    data = cells.join(terms, "id").groupBy("model_id", "feature").agg(F.sum(F.col("value") * F.col("slope")).alias("g"))
+    at = range(len(slopes))
+    joined = lookup_join(cells, terms, "id", "feature", row_bytes=64 + 16 * len(at))
+    data = joined.groupBy("feature").agg(*[F.sum(F.col("value") * F.col(f"s{i}")).alias(f"g{i}") for i in at])
     penalty = F.when(F.col("feature") == mg.BIAS, 0.0).otherwise(F.col("weight"))
-    whole = weights.withColumn("weight", penalty).join(data, ["model_id", "feature"], "left")
-    g = F.col("weight") + F.coalesce("g", F.lit(0.0))
+    whole = weights.withColumn("weight", penalty).join(data, "feature", "left")
+    found = F.coalesce(*[F.when(F.col("model_id") == m, F.col(f"g{i}")) for i, m in enumerate(specs)], F.lit(0.0))
+    g = F.col("weight") + found
     return whole.groupBy("model_id").agg(F.sqrt(F.sum(g * g)).alias("norm"))
 
 
@@ -50,10 +57,16 @@ def sparse_fit_optimality(spark, sf_dir):
     labels = table(spark, sf_dir, "labels").where("quality is not null").select(
         F.col("doc_id").alias("id"), F.col("quality").alias("classLabel")
     )
-    features = text_learner.text_features(documents(spark, sf_dir), STOPWORDS)
+    features = text_learner.text_features(documents(spark, sf_dir), STOPWORDS, ids=labels)
     fit = text_learner.fit_texts(features, labels, SPECS, tolerance=TOLERANCE, smooth=SMOOTH)
-    zero = fit.weights.withColumn("weight", F.lit(0.0))
-    now, first = (_gradient_norms(features, labels, w, SMOOTH) for w in (fit.weights, zero))
+    zero = fit.weights.select(F.concat(F.lit(FIRST), "model_id").alias("model_id"), "feature", F.lit(0.0).alias("weight"))
+    models = {s.model_id: s for s in SPECS} | {FIRST + s.model_id: s for s in SPECS}
+    with shuffles_freed(spark):
+        norms = materialize(_gradient_norms(features, labels, fit.weights.unionByName(zero), models, SMOOTH), "norms")
+    now = norms.where(~F.col("model_id").startswith(FIRST))
+    first = norms.where(F.col("model_id").startswith(FIRST)).select(
+        F.expr(f"substr(model_id, {len(FIRST) + 1})").alias("model_id"), F.col("norm").alias("first")
+    )
     counts = fit.weights.groupBy("model_id").agg(F.count(F.lit(1)).alias("n_features"))
     n_rows = labels.count()
     loss_at_zero = {}
@@ -62,7 +75,7 @@ def sparse_fit_optimality(spark, sf_dir):
         use = F.sum(F.when(positive, s.weights[0]).otherwise(s.weights[1]))
         loss_at_zero[s.model_id] = s.C * (1 - SMOOTH / 2) * labels.agg(use).first()[0]
     at_zero = F.element_at(F.create_map(*[F.lit(x) for kv in loss_at_zero.items() for x in kv]), F.col("model_id"))
-    both = now.join(first.withColumnRenamed("norm", "first"), "model_id").join(counts, "model_id").join(fit.report, "model_id")
+    both = now.join(first, "model_id").join(counts, "model_id").join(fit.report, "model_id")
     return both.select(
         "model_id", F.lit(n_rows).cast("long").alias("n_rows"), "n_features", (F.col("gradient") <= TOLERANCE).alias("fitted"),
         (F.col("loss") < at_zero).alias("better_than_zero"),

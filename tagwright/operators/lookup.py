@@ -76,3 +76,9 @@ def lookup_join(
     if frequency is None:
         frequency = key_frequency(rows, key)
     return spread_join(rows, lookup, key, spread, frequency, how, hot_min_rows)
+
+
+def rows_of(rows: DataFrame, ids: DataFrame, key: str, row_bytes: int = 48) -> DataFrame:
+    """The rows whose key is among ``ids``, where they are if the ids fit a broadcast."""
+    side = F.broadcast(ids) if fits_broadcast(ids.count(), row_bytes) else ids
+    return rows.join(side, key, "left_semi")

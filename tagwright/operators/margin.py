@@ -17,6 +17,7 @@ from .blocks import kernel_sum
 from .lookup import BROADCAST_BYTES, lookup_join
 
 BIAS = "__bias__"
+WIDE_MODELS = 16  # models whose sums share a row
 
 
 def class_mean_model(
@@ -50,21 +51,31 @@ def decision_values(
     """``(id, model_id, decision)`` for every row and model of a stored linear model table.
 
     Weights are grouped per feature, so a row's value is joined once for all models; rows
-    are summed on the map side before the exchange."""
-    cells = F.collect_list(F.struct("model_id", "weight"))
-    by_feature = model.where(F.col("feature") != BIAS).groupBy("feature").agg(cells.alias("w"))
-    by_feature = materialize(by_feature, "weights")
+    are summed on the map side before the exchange, up to ``WIDE_MODELS`` models in one row."""
+    own = model.where(F.col("feature") != BIAS)
+    names = [r[0] for r in own.select("model_id").distinct().limit(WIDE_MODELS + 1).collect()]
+    wide = 0 < len(names) <= WIDE_MODELS
+    if wide:
+        cells = F.array(*[F.sum(F.when(F.col("model_id") == m, F.col("weight"))) for m in names])
+    else:
+        cells = F.collect_list(F.struct("model_id", "weight"))
+    by_feature = materialize(own.groupBy("feature").agg(cells.alias("w")), "weights")
     shape = by_feature.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("w")), F.lit(1))).first()
     keyed = features.select(id_col, F.col("feature").cast("string").alias("feature"), "value")
     joined = lookup_join(
         keyed, by_feature, "feature", id_col, row_bytes=48 + 24 * shape[1], n_rows=shape[0],
         broadcast_limit=broadcast_limit,
     )
-    dots = (
-        joined.select(id_col, "value", F.explode("w").alias("w"))
-        .groupBy(id_col, F.col("w.model_id").alias("model_id"))
-        .agg(F.sum(F.col("value") * F.col("w.weight")).alias("dot"))
-    )
+    if wide:
+        sums = joined.groupBy(id_col).agg(*[F.sum(F.col("value") * F.col("w")[i]).alias(f"dot{i}") for i in range(len(names))])
+        each = [F.struct(F.lit(m).alias("model_id"), F.col(f"dot{i}").alias("dot")) for i, m in enumerate(names)]
+        dots = sums.select(id_col, F.inline(F.array(*each)))
+    else:
+        dots = (
+            joined.select(id_col, "value", F.explode("w").alias("w"))
+            .groupBy(id_col, F.col("w.model_id").alias("model_id"))
+            .agg(F.sum(F.col("value") * F.col("w.weight")).alias("dot"))
+        )
     pairs = F.collect_list(F.struct("model_id", "bias"))
     bias_rows = model.groupBy("model_id").agg(
         F.coalesce(F.sum(F.when(F.col("feature") == BIAS, F.col("weight"))), F.lit(0.0)).alias("bias")

@@ -6,7 +6,13 @@ size has no dense vector on the driver.  A pass computes decisions, losses and t
 gradients of all models that still move; gradients are added per shard.  While all weights fit a
 broadcast a task does the whole pass over its chunks; beyond that each piece of a chunk meets the
 weights of its own shard, decisions are added per chunk and go back to the pieces.  The driver holds
-weights and history up to ``HELD_BYTES``; beyond that they are tables.
+weights and history up to ``HELD_BYTES``; beyond that they are tables, each of which goes when the next
+one is written.
+
+Every vector of the descent is a combination of training rows.  While there are several chunks for a
+core and few enough rows, the driver holds the combinations and their decisions in place of weights:
+a pass goes over shards of features and brings the decisions of the new gradient, so that nothing as
+long as the vocabulary is moved or stored again.
 
 The descent is limited-memory BFGS in which the driver only sees inner products: a direction is a
 combination of stored vectors, and its coefficients follow from their products (Chen, Wang and Zhou
@@ -20,9 +26,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize, shuffles_freed
 from .lookup import BROADCAST_BYTES, fits_broadcast, key_frequency, lookup_join
 from .margin import BIAS
 from .training import DRIVER_BYTES, _rounded_hinge
@@ -77,18 +84,28 @@ def sparse_training_rows(
 ) -> SparseRows:
     """Stored training rows from ``(id, feature, value)`` and labels; a labeled row without features
     counts as one of zeros, and a row without a label takes no part."""
+    with shuffles_freed(features.sparkSession):
+        return _training_rows(features, labels, label_col, id_col, chunk_entries, shard_features)
+
+
+def _training_rows(
+    features: DataFrame, labels: DataFrame, label_col: str, id_col: str, chunk_entries: int, shard_features: int
+) -> SparseRows:
     known = labels.where(F.col(label_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")
     )
     known = materialize(known, "sparse-labels")
     n_rows = known.count()
     if not n_rows:
+        discard(known)
         raise ValueError("no labeled data has been provided")
-    side = F.broadcast(known) if fits_broadcast(n_rows, 48) else known
+    narrow = fits_broadcast(n_rows, 48)
+    side = F.broadcast(known) if narrow else known
     own = features.select(F.col(id_col).alias("id"), F.col("feature").cast("string").alias("feature"), F.col("value").cast("double"))
     entries = own.join(side, "id").select("id", "label", "feature", "value")
     bias = known.select("id", "label", F.lit(BIAS).alias("feature"), F.lit(1.0).alias("value"))
-    entries = materialize(entries.unionByName(bias), "sparse-entries")
+    entries = entries.unionByName(bias)
+    entries = entries if narrow else materialize(entries, "sparse-entries")
     frequency = key_frequency(entries, "feature")
     size = frequency.agg(F.count(F.lit(1)).alias("features"), F.sum("n_rows").alias("entries")).first()
     n_shards = -(-size.features // shard_features)
@@ -97,6 +114,9 @@ def sparse_training_rows(
     vocabulary = frequency.select("feature", shard.alias("shard")).withColumn("idx", place)
     vocabulary = materialize(vocabulary, "sparse-vocabulary")
     placed = lookup_join(entries, vocabulary, "feature", "id", row_bytes=96, frequency=frequency, n_rows=size.features)
+    placed = placed.select("id", "label", "shard", "idx", "value")
+    if not fits_broadcast(size.features, 96):  # its exchange goes before the one by chunk
+        placed = materialize(placed, "sparse-placed")
     n_chunks = -(-size.entries // chunk_entries)
 
     def pack(table: pa.Table) -> pa.Table:
@@ -123,7 +143,9 @@ def sparse_training_rows(
         placed.select(chunk.alias("chunk"), "id", "label", "shard", "idx", "value")
         .groupBy("chunk").applyInArrow(pack, f"chunk long, n int, labels binary, pieces {PIECES}")
     )
-    return SparseRows(materialize(chunks, "sparse-chunks"), vocabulary, n_rows, size.features, n_shards, n_chunks)
+    chunks = materialize(chunks, "sparse-chunks")
+    discard(known, entries, frequency, placed)
+    return SparseRows(chunks, vocabulary, n_rows, size.features, n_shards, n_chunks)
 
 
 # ---- one pass over the rows
@@ -182,9 +204,22 @@ def _added(sums: DataFrame, n_models: int) -> DataFrame:
     return sums.groupBy("shard").applyInArrow(add, "shard int, grad binary")
 
 
-def _whole_pass(chunks: DataFrame, weights: dict[int, np.ndarray], specs, smooth: float) -> DataFrame:
-    """Partial sums when every task can hold all weights."""
-    sent = chunks.sparkSession.sparkContext.broadcast(weights)
+def _gathered(sums: DataFrame, n_models: int, few: bool) -> dict[int, bytes]:
+    """Partial gradients added per shard on the driver; ``few``: those of all tasks are small together."""
+    if not few:
+        return {r["shard"]: r["grad"] for r in _added(sums, n_models).toArrow().to_pylist()}
+    total: dict[int, np.ndarray] = {}
+    for r in sums.toArrow().to_pylist():
+        cols, own = np.frombuffer(r["cols"], np.int32), total.get(r["shard"], np.zeros((0, n_models)))
+        if len(cols) and cols[-1] >= len(own):
+            own = np.vstack([own, np.zeros((cols[-1] + 1 - len(own), n_models))])
+        own[cols] += np.frombuffer(r["vals"]).reshape(-1, n_models)
+        total[r["shard"]] = own
+    return {shard: own.tobytes() for shard, own in total.items()}
+
+
+def _whole_pass(chunks: DataFrame, sent: Broadcast, specs, smooth: float) -> DataFrame:
+    """Partial sums when every task can hold all weights, sent by shard."""
     specs = tuple(specs)
 
     def partial(batches):
@@ -215,8 +250,8 @@ def _whole_pass(chunks: DataFrame, weights: dict[int, np.ndarray], specs, smooth
     return chunks.mapInArrow(partial, SUMS)
 
 
-def _sharded_pass(chunks: DataFrame, weights: DataFrame, n_shards: int, specs, smooth: float, limit: int, shard_bytes: int) -> DataFrame:
-    """Partial sums when only a shard's weights are sure to fit a task."""
+def _sharded_pass(chunks: DataFrame, weights: DataFrame, n_shards: int, specs, smooth: float, limit: int, shard_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """(partial sums, the table they are worked out from) when only a shard's weights are sure to fit a task."""
     k, specs = len(specs), tuple(specs)
     pieces = chunks.select("chunk", "n", F.explode("pieces").alias("p")).select("chunk", "n", "p.*")
     joined = lookup_join(pieces, weights.select("shard", "t"), "shard", "chunk", shard_bytes, n_rows=n_shards, broadcast_limit=limit)
@@ -255,7 +290,7 @@ def _sharded_pass(chunks: DataFrame, weights: DataFrame, n_shards: int, specs, s
         yield _sum_row(LOSS, np.zeros(1), loss)
 
     back = pieces.join(judged.select("chunk", "slopes"), "chunk").mapInArrow(backward, SUMS)
-    return back.unionByName(judged.select("loss").mapInArrow(losses, SUMS))
+    return back.unionByName(judged.select("loss").mapInArrow(losses, SUMS)), judged
 
 
 # ---- the state of the descent: one row per shard
@@ -323,16 +358,10 @@ class _OnDriver:
         """(squared lengths, losses) of the trial weights of the models ``moving``."""
         trials = {shard: own.trial(scaled, moving) for shard, own in self.shards.items()}
         square = sum(own.square(trials[shard]) for shard, own in self.shards.items())
-        sums, m = _whole_pass(chunks, trials, specs, smooth), len(moving)
-        if self.few:
-            total: dict[int, np.ndarray] = {}
-            for r in sums.toArrow().to_pylist():
-                shard = r["shard"]
-                own = total.setdefault(shard, np.zeros((self.shards[shard].n if shard != LOSS else 1, m)))
-                own[np.frombuffer(r["cols"], np.int32)] += np.frombuffer(r["vals"]).reshape(-1, m)
-            self.grads = {shard: own.tobytes() for shard, own in total.items()}
-        else:
-            self.grads = {r["shard"]: r["grad"] for r in _added(sums, m).toArrow().to_pylist()}
+        sent = chunks.sparkSession.sparkContext.broadcast(trials)
+        sums, m = _whole_pass(chunks, sent, specs, smooth), len(moving)
+        self.grads = _gathered(sums, m, self.few)
+        sent.destroy()
         return square, np.frombuffer(self.grads[LOSS])
 
     def advance(self, scaled, moving, accept, first, penalty) -> np.ndarray:
@@ -345,26 +374,157 @@ class _OnDriver:
         return spark.createDataFrame(rows, STATE)
 
 
+class _InRows:
+    """The state by training rows: a vector is the sum of the rows times its coefficients, and a bias.
+
+    ``at`` and ``basis`` are the weights and the stored vectors of each model: coefficients, decisions
+    without the bias, and biases.  Decisions of a trial follow from those stored, and so do inner products."""
+
+    def __init__(self, rows: SparseRows, k: int):
+        spark = rows.chunks.sparkSession
+        heads = rows.chunks.select("chunk", "n", "labels").orderBy("chunk").toArrow().to_pylist()
+        first = np.cumsum([0] + [h["n"] for h in heads])
+        self.k, self.n, self.rows = k, int(first[-1]), rows
+        self.labels = np.frombuffer(b"".join(h["labels"] for h in heads), np.int32)
+        self.columns = _columns(rows, {h["chunk"]: int(a) for h, a in zip(heads, first)})
+        cores = spark.sparkContext.defaultParallelism
+        self.few = fits_broadcast(cores * self.n, 8 * k, DRIVER_BYTES)
+        self.dealt = self.columns.coalesce(cores)  # a sum of all rows from each task
+        self.at = (np.zeros((k, self.n)), np.zeros((k, self.n)), np.zeros(k))
+        self.basis = (np.zeros((k, STORED, self.n)), np.zeros((k, STORED, self.n)), np.zeros((k, STORED)))
+
+    def passed(self, chunks: DataFrame, scaled: np.ndarray, specs, moving: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
+        self.trial = [np.stack([x[j] + scaled[j] @ own[j] for j in moving]) for x, own in zip(self.at, self.basis)]
+        coefs, decisions, bias = self.trial
+        loss, slopes = _slopes((decisions + bias[:, None]).T, self.labels, specs, smooth)
+        self.slopes = np.ascontiguousarray(slopes.T)
+        return (coefs * decisions).sum(axis=1), loss
+
+    def advance(self, scaled, moving, accept, first, penalty) -> np.ndarray:
+        some = np.flatnonzero(accept[moving])
+        slopes = self.slopes[some]
+        sent = self.dealt.sparkSession.sparkContext.broadcast(slopes)
+        found = _gathered(_decided(self.dealt, sent, self.n), len(some), self.few)
+        sent.destroy()
+        image = np.concatenate([np.frombuffer(found[i]).reshape(-1, len(some)) for i in sorted(found)]).T
+        for i, at in enumerate(some):
+            j = moving[at]
+            trial = [x[at] for x in self.trial]
+            grad = [trial[0] + penalty[j] * slopes[i], trial[1] + penalty[j] * image[i], penalty[j] * slopes[i].sum()]
+            for x, own, t, g in zip(self.at, self.basis, trial, grad):
+                if not first[j]:
+                    for lead, new in ((0, t - x[j]), (HISTORY, g - own[j, -1])):
+                        own[j, lead : lead + HISTORY - 1] = own[j, lead + 1 : lead + HISTORY].copy()
+                        own[j, lead + HISTORY - 1] = new
+                own[j, -1], x[j] = g, t
+        dots = np.stack([a @ d.T + np.outer(b, b) for a, d, b in zip(*self.basis)])
+        return (dots + dots.transpose(0, 2, 1)) / 2
+
+    def table(self, spark) -> DataFrame:
+        """The weights of each shard."""
+        sent, k = spark.sparkContext.broadcast((self.at[0], self.at[2])), self.k
+
+        def weigh(batches):
+            coefs, bias = sent.value
+            for batch in batches:
+                for i in range(batch.num_rows):
+                    c = batch.slice(i, 1).to_pylist()[0]
+                    w = np.stack([_column_sums(c, coefs[j]) for j in range(k)], axis=1)
+                    if c["bias"] >= 0:
+                        w[c["bias"]] = bias
+                    yield pa.RecordBatch.from_arrays([pa.array([c["shard"]], pa.int32()), pa.array([w.tobytes()], pa.binary())], names=["shard", "w"])
+
+        found = materialize(self.columns.mapInArrow(weigh, "shard int, w binary"), "sparse-state")
+        sent.destroy()
+        discard(self.columns)
+        return found
+
+
+def _columns(rows: SparseRows, first: dict[int, int]) -> DataFrame:
+    """Stored entries by feature: the places ``starts`` at which the features of a shard begin in rows
+    and values.  ``first`` is the number of the first row of each chunk."""
+    spark = rows.chunks.sparkSession
+    place = rows.vocabulary.where(F.col("feature") == BIAS).first()
+    bias = (place["shard"], place["idx"]) if place else (-1, -1)
+    sent = spark.sparkContext.broadcast(first)
+
+    def gather(table: pa.Table) -> pa.Table:
+        pieces = table.to_pylist()
+        row = np.concatenate([np.frombuffer(p["rows"], np.int32) + sent.value[p["chunk"]] for p in pieces]).astype(np.int32)
+        col = np.concatenate([np.frombuffer(p["cols"], np.int32) for p in pieces])
+        vals = np.concatenate([np.frombuffer(p["vals"]) for p in pieces])
+        order = np.argsort(col, kind="stable")
+        starts = np.flatnonzero(np.diff(col[order], prepend=-1)).astype(np.int32)
+        shard = pieces[0]["shard"]
+        return pa.table(
+            {
+                "shard": pa.array([shard], pa.int32()), "bias": pa.array([bias[1] if shard == bias[0] else -1], pa.int32()),
+                "starts": pa.array([starts.tobytes()], pa.binary()), "rows": pa.array([row[order].tobytes()], pa.binary()),
+                "vals": pa.array([vals[order].tobytes()], pa.binary()),
+            }
+        )
+
+    pieces = rows.chunks.select("chunk", F.explode("pieces").alias("p")).select("chunk", "p.*")
+    columns = pieces.groupBy("shard").applyInArrow(gather, "shard int, bias int, starts binary, rows binary, vals binary")
+    columns = materialize(columns, "sparse-columns")
+    sent.destroy()
+    return columns
+
+
+def _column_sums(c: dict, coefs: np.ndarray) -> np.ndarray:
+    """For each feature of a shard the sum of its values times the coefficients of their rows."""
+    return np.add.reduceat(np.frombuffer(c["vals"]) * coefs[np.frombuffer(c["rows"], np.int32)], np.frombuffer(c["starts"], np.int32))
+
+
+def _decided(columns: DataFrame, sent: Broadcast, n: int) -> DataFrame:
+    """Partial decisions, without the bias, of the sums of rows times the coefficients sent: a slice of
+    rows in place of a shard."""
+
+    def partial(batches):
+        coefs = sent.value
+        total = np.zeros(coefs.shape)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                c = batch.slice(i, 1).to_pylist()[0]
+                rows, vals, starts = np.frombuffer(c["rows"], np.int32), np.frombuffer(c["vals"]), np.frombuffer(c["starts"], np.int32)
+                sizes = np.diff(starts, append=len(rows))
+                for j, own in enumerate(coefs):
+                    w = _column_sums(c, own)
+                    if c["bias"] >= 0:
+                        w[c["bias"]] = 0.0
+                    total[j] += np.bincount(rows, vals * np.repeat(w, sizes), n)
+        for i, a in enumerate(range(0, n, SHARD_FEATURES)):
+            part = np.ascontiguousarray(total[:, a : a + SHARD_FEATURES].T)
+            yield _sum_row(i, np.arange(len(part)), part)
+
+    return columns.select("bias", "starts", "rows", "vals").mapInArrow(partial, SUMS)
+
+
 class _InTables:
     """The state as a table of shards, written anew after every pass."""
 
     def __init__(self, state: DataFrame, k: int, rows: SparseRows, broadcast_limit: int):
         self.state, self.k, self.rows, self.limit = state, k, rows, broadcast_limit
+        self.grads = None
         self.shard_bytes = 8 * k * max(state.agg(F.max("n")).first()[0], 1)
 
     def passed(self, chunks: DataFrame, scaled: np.ndarray, specs, moving: np.ndarray, smooth: float) -> tuple[np.ndarray, np.ndarray]:
         trials, m = _trials(self.state, scaled, moving), len(moving)
+        discard(self.grads)
         if fits_broadcast(self.rows.n_features, 8 * self.k, self.limit):
             found = trials.toArrow().to_pylist()
             weights = {r["shard"]: np.frombuffer(r["t"]).reshape(-1, m) for r in found}
             square = np.sum([r["square"] for r in found], axis=0)
-            sums = _whole_pass(chunks, weights, specs, smooth)
+            sent = chunks.sparkSession.sparkContext.broadcast(weights)
+            self.grads = materialize(_added(_whole_pass(chunks, sent, specs, smooth), m), "sparse-gradient")
+            sent.destroy()
         else:
             trials = materialize(trials, "sparse-trials")
             cells = trials.select(F.posexplode("square").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x"))
             square = np.array([r["x"] for r in cells.orderBy("at").collect()])
-            sums = _sharded_pass(chunks, trials, self.rows.n_shards, specs, smooth, self.limit, self.shard_bytes)
-        self.grads = materialize(_added(sums, m), "sparse-gradient")
+            sums, judged = _sharded_pass(chunks, trials, self.rows.n_shards, specs, smooth, self.limit, self.shard_bytes)
+            self.grads = materialize(_added(sums, m), "sparse-gradient")
+            discard(trials, judged)
         return square, np.frombuffer(self.grads.where(F.col("shard") == LOSS).first()["grad"])
 
     def advance(self, scaled, moving, accept, first, penalty) -> np.ndarray:
@@ -385,7 +545,8 @@ class _InTables:
                     )
 
         joined = self.state.drop("dots").join(self.grads, "shard", "left")
-        self.state = materialize(joined.mapInArrow(step, STATE), "sparse-state")
+        old, self.state = self.state, materialize(joined.mapInArrow(step, STATE), "sparse-state")
+        discard(old)
         rows = self.state.select(F.posexplode("dots").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()
         out = np.zeros(k * STORED * STORED)
         for r in rows:
@@ -393,6 +554,7 @@ class _InTables:
         return out.reshape(k, STORED, STORED)
 
     def table(self, spark) -> DataFrame:
+        discard(self.grads)
         return self.state
 
 
@@ -437,11 +599,20 @@ def fit_sparse(
 ) -> SparseFit:
     """Fit all ``specs`` together; a model that does not reach the tolerance is an error.
 
-    The limits choose where weights and history are held, not what is fitted."""
-    spark, k = rows.chunks.sparkSession, len(specs)
-    if not k:
+    The limits choose where weights and history are held, not what is fitted.  Tables that are read no
+    more go, and the files of a shuffle as soon as the table it was for is written."""
+    if not specs:
         raise ValueError("no model has been asked for")
-    chunks = rows.chunks.persist()
+    with shuffles_freed(rows.chunks.sparkSession):
+        return _fitted(rows, specs, tolerance, max_passes, smooth, broadcast_limit, driver_limit)
+
+
+def _held(rows: SparseRows, k: int, broadcast_limit: int, driver_limit: int) -> tuple[_OnDriver | _InRows | _InTables, DataFrame]:
+    """(where the state of the descent is held, the chunks as it reads them)"""
+    chunks, cores = rows.chunks, rows.chunks.sparkSession.sparkContext.defaultParallelism
+    several = rows.n_chunks > 4 * cores
+    if several and fits_broadcast(rows.n_rows, 16 * k * (STORED + 1), driver_limit) and fits_broadcast(rows.n_rows, 8 * k, broadcast_limit):
+        return _InRows(rows, k), chunks
     empty = F.lit(b"").cast("binary")
     bias = F.coalesce(F.max(F.when(F.col("feature") == BIAS, F.col("idx"))), F.lit(-1)).cast("int")
     state = materialize(
@@ -450,16 +621,22 @@ def fit_sparse(
         ),
         "sparse-state",
     )
+    if not fits_broadcast(rows.n_features, 8 * k * (STORED + 1), driver_limit) or not fits_broadcast(rows.n_features, 8 * k, broadcast_limit):
+        return _InTables(state, k, rows, broadcast_limit), chunks
+    few = not several and fits_broadcast(rows.n_features * rows.n_chunks, 8 * k, DRIVER_BYTES)
+    if few:  # a task for each chunk
+        chunks = chunks.repartition(rows.n_chunks, "chunk")
+    held = _OnDriver(state, k, few)
+    discard(state)
+    return held, chunks.persist()
+
+
+def _fitted(
+    rows: SparseRows, specs: Sequence[SparseSpec], tolerance: float, max_passes: int, smooth: float, broadcast_limit: int, driver_limit: int
+) -> SparseFit:
+    spark, k = rows.chunks.sparkSession, len(specs)
+    held, chunks = _held(rows, k, broadcast_limit, driver_limit)
     penalty = np.array([s.C for s in specs])
-    if fits_broadcast(rows.n_features, 8 * k * (STORED + 1), driver_limit) and fits_broadcast(rows.n_features, 8 * k, broadcast_limit):
-        cores = spark.sparkContext.defaultParallelism
-        few = rows.n_chunks <= 4 * cores and fits_broadcast(rows.n_features * rows.n_chunks, 8 * k, DRIVER_BYTES)
-        if few:  # a task for each chunk
-            chunks.unpersist()
-            chunks = rows.chunks.repartition(rows.n_chunks, "chunk").persist()
-        held = _OnDriver(state, k, few)
-    else:
-        held = _InTables(state, k, rows, broadcast_limit)
     moving, first = np.ones(k, bool), np.ones(k, bool)
     step, delta, slope = np.ones(k), np.zeros((k, STORED)), np.zeros(k)
     value, pairs, passes = np.full(k, np.inf), np.zeros(k, int), np.zeros(k, int)
@@ -501,9 +678,12 @@ def fit_sparse(
         raise RuntimeError(
             f"{int((relative > tolerance).sum())} of {k} models not fitted after {int(passes.max())} passes: relative gradient up to {relative.max():.2g}"
         )
+    state = held.table(spark)
+    weights = materialize(_named_weights(state, rows.vocabulary, [s.model_id for s in specs]), "sparse-weights")
+    discard(state)
     report = [(s.model_id, float(s.C), float(value[i]), float(relative[i]), int(passes[i])) for i, s in enumerate(specs)]
     return SparseFit(
-        materialize(_named_weights(held.table(spark), rows.vocabulary, [s.model_id for s in specs]), "sparse-weights"),
+        weights,
         spark.createDataFrame(report, "model_id string, C double, loss double, gradient double, passes int"),
     )
 

@@ -12,24 +12,36 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators import margin as mg, sparse_training as sp
 from ..operators.evaluate import confusion
+from ..operators.lookup import rows_of
 from ..operators.topk import top_k_per_key
-from ..sources.scratch import materialize
+from ..sources.scratch import discard, materialize, shuffles_freed
 from .features import weighted_terms
 
 
 def text_features(
     docs: DataFrame, stopwords: Sequence[str], stems: bool = True, rank_threshold: float = 0.0,
-    id_col: str = "doc_id", text_col: str = "text",
+    id_col: str = "doc_id", text_col: str = "text", ids: DataFrame | None = None,
 ) -> DataFrame:
-    """Stored ``(id, feature, value)``: unit rows of weighted terms."""
-    weights = weighted_terms(docs, stopwords, stems=stems, rank_threshold=rank_threshold, id_col=id_col, text_col=text_col)
+    """Stored ``(id, feature, value)``: unit rows of weighted terms.  All documents are weighted together;
+    with ``ids`` only the rows of those are stored."""
+    with shuffles_freed(docs.sparkSession):
+        weights = weighted_terms(docs, stopwords, stems=stems, rank_threshold=rank_threshold, id_col=id_col, text_col=text_col)
+        if ids is not None:
+            weights = rows_of(weights, ids.select(F.col("id").alias(id_col)), id_col)
+        return _stored(weights, id_col)
+
+
+def _stored(weights: DataFrame, id_col: str) -> DataFrame:
     rows = weights.select(F.col(id_col).alias("id"), F.col("term").alias("feature"), F.col("weight").alias("value"))
     return materialize(rows, "text-features")
 
 
 def fit_texts(features: DataFrame, labels: DataFrame, specs: Sequence[sp.SparseSpec], **settings) -> sp.SparseFit:
     """All ``specs`` fitted on the labeled rows ``(id, classLabel)`` of the features."""
-    return sp.fit_sparse(sp.sparse_training_rows(features, labels), specs, **settings)
+    rows = sp.sparse_training_rows(features, labels)
+    fit = sp.fit_sparse(rows, specs, **settings)
+    discard(rows.chunks, rows.vocabulary)
+    return fit
 
 
 def score_texts(features: DataFrame, fit: sp.SparseFit, ids: DataFrame) -> DataFrame:

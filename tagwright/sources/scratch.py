@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,11 +32,23 @@ def scratch_root(spark: SparkSession) -> str:
     return scratch_root(spark)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to a fresh scratch table and return the table."""
+def materialize(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` to a fresh scratch table, a folder for each value of ``by``, and return the table."""
     path = f"{scratch_root(df.sparkSession)}/tagwright-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(*by) if by else df.write).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables of ``materialize`` that are not read any more; anything else is left alone."""
+    for table in tables:
+        path = None if table is None else vars(table).get("scratch_path")
+        if path is not None:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager

@@ -1,5 +1,8 @@
 """Sparse large-margin fits: equal to dense ones, equal on both ways of passing, optimal."""
 
+import os
+import re
+from collections import Counter
 from dataclasses import replace
 
 import numpy as np
@@ -7,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagwright.operators import margin as mg, sparse_training as sp, training as tr
-from tagwright.sources.scratch import materialize
+from tagwright.sources.scratch import materialize, scratch_root
 
 N, D = 160, 30
 
@@ -103,3 +106,39 @@ def test_history_of_a_usual_vocabulary_stays_on_the_driver(data, monkeypatch):
     fit = sp.fit_sparse(wide, SPECS, tolerance=1e-2)
     assert seen[0] == 3 and seen[-1] < 3
     assert sum(seen) == sum(r.passes for r in fit.report.collect())
+
+
+def scratch_tables(spark):
+    """Tables by the kind of what they hold, in the scratch folder."""
+    names = os.listdir(scratch_root(spark).removeprefix("file://"))
+    return Counter(re.sub(r"-[0-9a-f]{32}$", "", n) for n in names if n.startswith("tagwright-sparse-"))
+
+
+@pytest.mark.parametrize("entries, limits", [(20, {}), (100, {"driver_limit": 0}), (100, {"broadcast_limit": 0})])
+def test_passes_leave_no_tables_behind(spark, data, entries, limits):
+    """However many passes there are, only the rows, their vocabulary and the fitted weights stay."""
+    rows = sp.sparse_training_rows(data[2], data[3], chunk_entries=entries, shard_features=16)
+    before = scratch_tables(spark)
+    fit = sp.fit_sparse(rows, SPECS[:1], tolerance=0.3, **limits)
+    assert fit.report.first().passes > 1
+    assert scratch_tables(spark) - before == Counter({"tagwright-sparse-weights": 1})
+    assert not {"tagwright-sparse-entries", "tagwright-sparse-labels", "tagwright-sparse-placed"} & set(before)
+
+
+def test_descent_over_rows_equals_the_one_over_weights(spark, data, fitted, monkeypatch):
+    """With several chunks for a core nothing as long as the vocabulary is moved in a pass."""
+    cores = spark.sparkContext.defaultParallelism
+    rows = sp.sparse_training_rows(data[2], data[3], chunk_entries=20, shard_features=4)
+    assert rows.n_chunks > 4 * cores
+    whole = sp.fit_sparse(replace(rows, n_chunks=1), SPECS, tolerance=0.1)
+    monkeypatch.setattr(sp, "_whole_pass", None)
+    for few in (True, False):
+        if not few:
+            monkeypatch.setattr(sp, "DRIVER_BYTES", 0)
+        fit = sp.fit_sparse(rows, SPECS, tolerance=0.1)
+        names = [s.model_id for s in SPECS]
+        assert table(fit, names) == pytest.approx(table(whole, names), abs=1e-6)
+        passes = {r.model_id: r.passes for r in whole.report.collect()}
+        assert {r.model_id: r.passes for r in fit.report.collect()} == passes
+    close = sp.fit_sparse(rows, SPECS, tolerance=1e-4)
+    assert table(close, names) == pytest.approx(table(fitted, names), abs=0.02)
