@@ -1,8 +1,11 @@
+import os
+
 import numpy as np
 import pyarrow as pa
 import pytest
 
 from tagwright.operators import blocks, knn, margin as mg
+from tagwright.sources.scratch import scratch_root
 
 RNG = np.random.default_rng(3)
 
@@ -157,3 +160,35 @@ def test_frequent_terms_as_columns_or_postings(share, monkeypatch):
     unit = np.divide(sums, norms[:, None], out=np.zeros_like(sums), where=norms[:, None] > 0)
     got = np.concatenate(list(blocks._sparse_cosines(table(range(20)), table(range(20, 60)))))
     np.testing.assert_allclose(got, unit[:20] @ unit[20:].T, atol=1e-12)
+
+
+@pytest.mark.parametrize("merged", [16, 2])
+def test_rows_are_not_repeated_for_each_block(spark, merged, monkeypatch):
+    """Rows of both sides are stored once however many blocks there are, and only neighbours stay."""
+    stored = []
+    whole = blocks.materialize
+    monkeypatch.setattr(blocks, "materialize", lambda df, name, *by: stored.append((name, df.count())) or whole(df, name, *by))
+    monkeypatch.setattr(blocks, "MERGED_ROUNDS", merged)
+    folder = scratch_root(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    train, test = RNG.standard_normal((60, 3)), RNG.standard_normal((25, 3))
+    train[20:30] = train[10:20]
+    got = blocks.cosine_neighbours(vectors(spark, test), vectors(spark, train), 4, block_rows=8)
+    assert pairs(got) == brute_force(test, train, 4)
+    assert sorted(x for x in stored if x[0] != "neighbours") == [("test-rows", 25), ("train-rows", 60)]
+    assert max(n for _, n in stored) <= 5 * 25 * max(merged, 1)
+    left = set(os.listdir(folder)) - before
+    assert all(x.startswith("tagwright-neighbours-") for x in left) and len(left) < (merged if merged == 2 else 9)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" not in plan
+
+
+def test_neighbours_of_nothing_and_of_rows_without_an_id(spark):
+    rows = "id long, vec array<double>, classLabel int"
+    train = spark.createDataFrame([(None, [1.0, 0.0], 1), (7, [1.0, 0.0], 2), (7, [0.0, 1.0], 3)], rows)
+    test = spark.createDataFrame([(None, [1.0, 0.1], 0), (3, [0.0, 2.0], 0), (3, [0.1, 2.0], 0)], rows)
+    got = blocks.cosine_neighbours(test, train, 2, block_rows=1)
+    found = sorted((str(r.test_id), str(r.train_id), r.classLabel, round(r.similarity, 3)) for r in got.collect())
+    assert found == [("3", "7", 3, 0.999), ("3", "7", 3, 1.0), ("None", "7", 2, 0.995), ("None", "None", 1, 0.995)]
+    assert blocks.cosine_neighbours(test, train.where("false"), 2).count() == 0
+    assert blocks.cosine_neighbours(test.where("false"), train, 2).count() == 0
