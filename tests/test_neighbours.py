@@ -1,9 +1,12 @@
 import os
+import random
 
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from tagwright.catalog import QUERIES, SQL
 from tagwright.operators import blocks, knn, margin as mg
 from tagwright.sources.scratch import scratch_root
 
@@ -192,3 +195,21 @@ def test_neighbours_of_nothing_and_of_rows_without_an_id(spark):
     assert found == [("3", "7", 3, 0.999), ("3", "7", 3, 1.0), ("None", "7", 2, 0.995), ("None", "None", 1, 0.995)]
     assert blocks.cosine_neighbours(test, train.where("false"), 2).count() == 0
     assert blocks.cosine_neighbours(test.where("false"), train, 2).count() == 0
+
+
+def test_accuracy_of_texts_leaves_no_rows_stored(spark, tmp_path):
+    """In several blocks the same as the SQL; what was compared is deleted, texts without a label are not stored."""
+    rng = random.Random(5)
+    words = [a + b for a in "bcdfgklm" for b in ("ar", "en", "ol", "ut")]
+    docs = [(i, " ".join(rng.choices(words, k=12)) if i % 9 else None) for i in range(90)]
+    labels = [(i, rng.randrange(3)) for i in range(60)]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    folder = scratch_root(spark).removeprefix("file://")
+    before = set(os.listdir(folder))
+    got = [tuple(r) for r in QUERIES["knn_accuracy_text"](spark, str(tmp_path)).collect()]
+    assert all(x.startswith("tagwright-neighbours-") for x in set(os.listdir(folder)) - before)
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    assert got == con.execute(SQL["knn_accuracy_text"]).fetchall()
